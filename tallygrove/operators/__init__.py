@@ -1,7 +1,7 @@
 from tallygrove.operators.evaluate import confusion, metrics, per_class
 from tallygrove.operators.model import classifier, fit, linear_parts, load, save
 from tallygrove.operators.prepare import assemble, prepare_table
-from tallygrove.operators.score import linear_scores, predictions, score
+from tallygrove.operators.score import linear_scores, predictions, score, scores_natively
 
 __all__ = [
     "assemble",
@@ -17,4 +17,5 @@ __all__ = [
     "prepare_table",
     "save",
     "score",
+    "scores_natively",
 ]

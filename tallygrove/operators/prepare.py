@@ -11,39 +11,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tallygrove.functions import named
 
-def _require(df: DataFrame, wanted: Sequence[str]) -> None:
-    fold = str if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+
+def _missing(df: DataFrame, wanted: Sequence[str]) -> list[str]:
+    """Names that ``df`` does not resolve, under the session's case rule."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = str if sensitive else str.lower
     present = {fold(c) for c in df.columns}
-    missing = [c for c in wanted if fold(c) not in present]
+    return [c for c in wanted if fold(c) not in present]
+
+
+def _require(df: DataFrame, wanted: Sequence[str]) -> None:
+    missing = _missing(df, wanted)
     if missing:
         hint = " (one column only: is the separator right?)" if len(df.columns) == 1 else ""
         raise ValueError(f"missing columns {missing}; the table has {df.columns}{hint}")
 
 
-def _has(df: DataFrame, name: str) -> bool:
-    try:
-        _require(df, [name])
-    except ValueError:
-        return False
-    return True
-
-
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def _complete(df: DataFrame) -> Column:
-    """No null and no NaN in any column.
+def _complete(df: DataFrame, names: Sequence[str]) -> Column:
+    """No null and no NaN in any of the columns.
 
     Spelled per column, so that the null checks reach a columnar source as
     pushed filters, which ``na.drop`` does not.
     """
     tests = []
-    for field in df.schema.fields:
-        value = _quoted(field.name)
+    for name in names:
+        value = named(name)
         tests.append(value.isNotNull())
-        if isinstance(field.dataType, FloatType | DoubleType):
+        if isinstance(df.schema[name].dataType, FloatType | DoubleType):
             tests.append(~F.isnan(value))
     return reduce(and_, tests)
 
@@ -61,16 +57,17 @@ def prepare_table(
     ``label`` is renamed to ``label_as``; a table that already has the new
     name only is taken as it is. Columns not named are discarded. A row is
     dropped if its label or any feature is null or NaN. ``keep`` carries
-    further columns (row keys, say) through untouched and unchecked.
+    further columns (row keys, say) through unchecked.
     """
-    source = label_as if not _has(df, label) and _has(df, label_as) else label
+    renamed_before = _missing(df, [label]) and not _missing(df, [label_as])
+    source = label_as if renamed_before else label
     _require(df, [source, *features, *keep])
     wanted = df.select(
-        _quoted(source).alias(label_as),
-        *(_quoted(f).alias(f) for f in features),
-        *(_quoted(k).alias(k) for k in keep),
+        named(source).alias(label_as),
+        *(named(f).alias(f) for f in features),
+        *(named(k).alias(k) for k in keep),
     )
-    return wanted.where(_complete(wanted.drop(*keep)))
+    return wanted.where(_complete(wanted, [label_as, *features]))
 
 
 def assemble(

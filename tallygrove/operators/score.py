@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from tallygrove.functions import argmax, dot, sigmoid_pair, softmax
-from tallygrove.operators.model import linear_parts
+from tallygrove.functions import argmax, dot, named, sigmoid_pair, softmax
+from tallygrove.operators.model import classifier, linear_parts
 from tallygrove.operators.prepare import assemble
 
 # Largest weight matrix (margins x features) that is scored as expressions.
@@ -48,7 +48,7 @@ def linear_scores(
     columns = df.columns
     # Staged projections: Catalyst keeps them apart, as later ones use earlier
     # ones more than once, so every margin is computed a single time per row.
-    inputs = [F.col(f"`{f}`").cast("double") for f in features]
+    inputs = [named(f).cast("double") for f in features]
     margins = [f"_margin_{k}" for k in range(len(weights))]
     scored = df.withColumns(
         {m: dot(inputs, w, b) for m, w, b in zip(margins, weights, intercepts, strict=True)}
@@ -66,21 +66,27 @@ def linear_scores(
         share = [F.col(s) / F.col("_sum") for s in shifted]
         winner = argmax(raw, F.col("_top"))
     return scored.select(
-        *(F.col(f"`{c}`") for c in columns),
+        *(named(c) for c in columns),
         F.array(*raw).alias("rawPrediction"),
         F.array(*share).alias("probability"),
         winner.alias("prediction"),
     )
 
 
+def scores_natively(model: PipelineModel) -> bool:
+    """Whether ``linear_scores`` is the faster way and gives the model's answer."""
+    fitted = classifier(model)
+    small = fitted.coefficientMatrix.numRows * fitted.coefficientMatrix.numCols <= NATIVE_WEIGHTS
+    return small and not fitted.isSet("thresholds") and fitted.getThreshold() == 0.5
+
+
 def predictions(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """``label`` and ``prediction`` only, for evaluation over a flat table.
 
     Small models are scored as expressions, wide ones by MLlib.
     """
-    weights, intercepts = linear_parts(model)
-    if len(weights) * len(features) <= NATIVE_WEIGHTS:
-        scored = linear_scores(df, weights, intercepts, features)
+    if scores_natively(model):
+        scored = linear_scores(df, *linear_parts(model), features)
     else:
         scored = score(model, assemble(df, features))
     return scored.select("label", "prediction")

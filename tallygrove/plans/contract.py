@@ -236,7 +236,7 @@ def fit_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     table = _table(spark, sf_dir, "lineitem").select(grade.alias("grade"), high.alias("high"))
     flat = prepare_table(table, "grade", ["high"])
-    model = fit(assemble(flat, ["high"]), tol=1e-12)
+    model = fit(assemble(flat, ["high"]), tol=1e-9)
     share = vector_to_array("probability")
     scored = score(model, assemble(flat, ["high"], keep=["high"]))
     means = scored.groupBy("high").agg(
@@ -248,7 +248,7 @@ def fit_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_binary_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2, M5a-M5c for two classes: probability of good quality given toxicity."""
     flat = prepare_table(_table(spark, sf_dir, "labels"), "quality", ["toxic"])
-    model = fit(assemble(flat, ["toxic"]), tol=1e-12)
+    model = fit(assemble(flat, ["toxic"]), tol=1e-9)
     weights, intercepts = linear_parts(model)
     scored = linear_scores(flat, weights, intercepts, ["toxic"])
     return scored.groupBy("toxic", "prediction").agg(
