@@ -76,7 +76,7 @@ def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = F.col("l_quantity")
     grade = (
         F.when(quantity <= 10, 3).when(quantity.between(20, 30), 5).when(quantity >= 40, 8)
@@ -85,7 +85,7 @@ def _graded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bands_source(spark: SparkSession, sf_dir: str) -> Source:
-    return Source(_graded(spark, sf_dir), "grade", BAND_FEATURES)
+    return Source(graded(spark, sf_dir), "grade", BAND_FEATURES)
 
 
 def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +236,7 @@ def fit_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     table = _table(spark, sf_dir, "lineitem").select(grade.alias("grade"), high.alias("high"))
     flat = prepare_table(table, "grade", ["high"])
-    model = fit(assemble(flat, ["high"]), tol=1e-9)
+    model = fit(assemble(flat, ["high"]))
     share = vector_to_array("probability")
     scored = score(model, assemble(flat, ["high"], keep=["high"]))
     means = scored.groupBy("high").agg(
@@ -248,7 +248,7 @@ def fit_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_binary_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2, M5a-M5c for two classes: probability of good quality given toxicity."""
     flat = prepare_table(_table(spark, sf_dir, "labels"), "quality", ["toxic"])
-    model = fit(assemble(flat, ["toxic"]), tol=1e-9)
+    model = fit(assemble(flat, ["toxic"]))
     weights, intercepts = linear_parts(model)
     scored = linear_scores(flat, weights, intercepts, ["toxic"])
     return scored.groupBy("toxic", "prediction").agg(
@@ -298,7 +298,7 @@ def scored_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def preview_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five scored rows by key."""
     key = ("l_orderkey", "l_partkey", "l_suppkey")
-    source = Source(_graded(spark, sf_dir), "grade", BAND_FEATURES, keep=key)
+    source = Source(graded(spark, sf_dir), "grade", BAND_FEATURES, keep=key)
     flat = prepared(spark, source)
     model = fit(assemble(flat, BAND_FEATURES))
     scored = score(model, assemble(flat, BAND_FEATURES, keep=key))
@@ -318,7 +318,7 @@ def preview_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def train_job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on a text table, validate on a columnar one."""
-    columns = _graded(spark, sf_dir).select("grade", *BAND_FEATURES)
+    columns = graded(spark, sf_dir).select("grade", *BAND_FEATURES)
     report = train_job(
         spark,
         Source(_as_csv(columns), "grade", BAND_FEATURES),
@@ -333,7 +333,7 @@ def _predicted(spark: SparkSession, sf_dir: str):
     model, _ = _fit_bands(spark, sf_dir)
     path = shared_path(spark, "model")
     save(model, path)
-    columns = _graded(spark, sf_dir).select("grade", *BAND_FEATURES)
+    columns = graded(spark, sf_dir).select("grade", *BAND_FEATURES)
     return predict_job(
         spark,
         Source(_as_csv(columns), "grade", BAND_FEATURES, read={"schema": columns.schema}),

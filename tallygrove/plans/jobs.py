@@ -148,7 +148,9 @@ def train_job(
     metrics). ``reuse`` says what to keep in between (see ``held``); unset, a
     text source is staged as Parquet once and anything else is read again.
     ``partitions`` and ``settings`` go to ``fit``. The model is saved as soon
-    as it exists. Metrics have columns ``dataset, metric, value``.
+    as it exists. Metrics have columns ``dataset, metric, value``. The model's
+    own lazy ``summary`` reads the training rows again, so it does not outlast
+    a staged copy; the metrics here are the same numbers.
 
     With ``arrays`` the vector columns of the scored rows are written as plain
     arrays, which SQL can read and which small models compute several times

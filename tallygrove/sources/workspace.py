@@ -6,16 +6,22 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="tallygrove-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may run without the setting: there the driver's own
-    temporary folder is taken, once per session.
+    Only a local session may run without the setting, where driver and
+    executors are one process: it gets one temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -24,9 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError(
             "set spark.checkpoint.dir to a folder that all executors share"
         )
-    own = tempfile.mkdtemp(prefix="tallygrove-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return _own_dir()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -40,7 +44,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: losing an executor afterwards costs a re-read of the
     written columns, never a recomputation of what produced them.
     """
-    path = shared_path(df.sparkSession, name)
+    return _write_and_scan(df, shared_path(df.sparkSession, name))
+
+
+def _write_and_scan(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -51,14 +58,20 @@ def held(df: DataFrame, reuse: str) -> Iterator[DataFrame]:
 
     * ``"rescan"``: nothing is kept. Right for columnar sources, where each
       pass reads a few pruned columns.
-    * ``"stage"``: one columnar copy in the shared folder. Right for text,
-      which is slow to parse again, and for clusters that lose executors.
+    * ``"stage"``: one columnar copy in the shared folder, emptied at the end.
+      Right for text, which is slow to parse again, and for clusters that
+      lose executors.
     * ``"cache"``: executor memory, spilling to disk, released at the end.
     """
     if reuse == "rescan":
         yield df
     elif reuse == "stage":
-        yield stage(df, "staged")
+        path = shared_path(df.sparkSession, "staged")
+        try:
+            yield _write_and_scan(df, path)
+        finally:
+            nothing = df.sparkSession.createDataFrame([], df.schema)
+            nothing.write.mode("overwrite").parquet(path)
     elif reuse == "cache":
         kept = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:

