@@ -14,7 +14,7 @@ probabilities must equal the observed frequencies.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -44,7 +44,15 @@ from tallygrove.plans.jobs import (
     prepared,
     train_job,
 )
-from tallygrove.sources import preview, read_table, shared_path, stage, write_scored
+from tallygrove.sources import (
+    few_splits,
+    preview,
+    read_table,
+    shared_path,
+    spread,
+    stage,
+    write_scored,
+)
 
 LABEL = "l_linenumber"
 FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -92,9 +100,15 @@ def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark, _bands_source(spark, sf_dir))
 
 
+def _fit(flat: DataFrame, features: Sequence[str]) -> PipelineModel:
+    """Fit on a scan, with the rows staged for all cores if it has few splits."""
+    rows = stage(spread(flat), "training") if few_splits(flat) else flat
+    return fit(assemble(rows, features))
+
+
 def _fit_bands(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
     flat = _bands(spark, sf_dir)
-    return fit(assemble(flat, BAND_FEATURES)), flat
+    return _fit(flat, BAND_FEATURES), flat
 
 
 def _declared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +250,7 @@ def fit_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     table = _table(spark, sf_dir, "lineitem").select(grade.alias("grade"), high.alias("high"))
     flat = prepare_table(table, "grade", ["high"])
-    model = fit(assemble(flat, ["high"]))
+    model = _fit(flat, ["high"])
     share = vector_to_array("probability")
     scored = score(model, assemble(flat, ["high"], keep=["high"]))
     means = scored.groupBy("high").agg(
@@ -248,7 +262,7 @@ def fit_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_binary_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2, M5a-M5c for two classes: probability of good quality given toxicity."""
     flat = prepare_table(_table(spark, sf_dir, "labels"), "quality", ["toxic"])
-    model = fit(assemble(flat, ["toxic"]))
+    model = _fit(flat, ["toxic"])
     weights, intercepts = linear_parts(model)
     scored = linear_scores(flat, weights, intercepts, ["toxic"])
     return scored.groupBy("toxic", "prediction").agg(
@@ -263,7 +277,7 @@ def fit_embeddings_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "label", *(F.col("embedding")[i].alias(n) for i, n in enumerate(names))
     )
     flat = prepare_table(wide, "label", names, keep=["vec_id"])
-    model = fit(assemble(flat, names))
+    model = _fit(flat, names)
     scored = score(model, assemble(flat, names, keep=["vec_id"]))
     share = vector_to_array("probability")
     return scored.select(
@@ -300,7 +314,7 @@ def preview_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = ("l_orderkey", "l_partkey", "l_suppkey")
     source = Source(graded(spark, sf_dir), "grade", BAND_FEATURES, keep=key)
     flat = prepared(spark, source)
-    model = fit(assemble(flat, BAND_FEATURES))
+    model = _fit(flat.drop(*key), BAND_FEATURES)
     scored = score(model, assemble(flat, BAND_FEATURES, keep=key))
     top = preview(
         scored,

@@ -26,7 +26,15 @@ from tallygrove.operators import (
     score,
     scores_natively,
 )
-from tallygrove.sources import held, preview, read_table, stage, write_scored
+from tallygrove.sources import (
+    few_splits,
+    held,
+    preview,
+    read_table,
+    spread,
+    stage,
+    write_scored,
+)
 
 # Metrics reported for each data set and their printed names.
 TRAINING_METRICS = {
@@ -55,9 +63,13 @@ class Source:
     keep: Sequence[str] = ()
     read: dict[str, Any] = field(default_factory=dict)
 
+    @property
+    def is_scan(self) -> bool:
+        return isinstance(self.table, str)
+
     @property
     def is_text(self) -> bool:
-        return isinstance(self.table, str) and self.read.get("format", "csv") == "csv"
+        return self.is_scan and self.read.get("format", "csv") == "csv"
 
 
 class TrainReport(NamedTuple):
@@ -76,7 +88,7 @@ class PredictReport(NamedTuple):
 def prepared(spark: SparkSession, source: Source) -> DataFrame:
     """Read, if need be, and clean a labelled table (J1, without the vector)."""
     table = source.table
-    if isinstance(table, str):
+    if source.is_scan:
         table = read_table(spark, table, **source.read)
     return prepare_table(table, source.label, source.features, keep=source.keep)
 
@@ -145,8 +157,10 @@ def train_job(
     """Fit on one table, report on it, score and report on another.
 
     Training reads its table three times (twice in the fit, once for its own
-    metrics). ``reuse`` says what to keep in between (see ``held``); unset, a
-    text source is staged as Parquet once and anything else is read again.
+    metrics). ``reuse`` says what to keep in between (see ``held``). Unset, a
+    file that is text, or that comes in fewer splits than there are cores, is
+    staged as Parquet once, in as many parts as cores in the latter case;
+    anything else is read again.
     ``partitions`` and ``settings`` go to ``fit``. The model is saved as soon
     as it exists. Metrics have columns ``dataset, metric, value``. The model's
     own lazy ``summary`` reads the training rows again, so it does not outlast
@@ -156,8 +170,13 @@ def train_job(
     arrays, which SQL can read and which small models compute several times
     faster.
     """
-    reuse = reuse or ("stage" if training.is_text else "rescan")
-    with held(prepared(spark, training), reuse) as flat:
+    rows = prepared(spark, training)
+    if reuse is None:
+        if training.is_text or (training.is_scan and few_splits(rows)):
+            reuse, rows = "stage", spread(rows)
+        else:
+            reuse = "rescan"
+    with held(rows, reuse) as flat:
         model = fit(assemble(flat, training.features), partitions=partitions, **settings)
         save(model, model_path)
         trained = evaluate(

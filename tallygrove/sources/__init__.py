@@ -1,14 +1,16 @@
 from tallygrove.sources.sinks import preview, report_lines, write_scored
 from tallygrove.sources.tables import read_table
-from tallygrove.sources.workspace import held, shared_dir, shared_path, stage
+from tallygrove.sources.workspace import few_splits, held, shared_dir, shared_path, spread, stage
 
 __all__ = [
+    "few_splits",
     "held",
     "preview",
     "read_table",
     "report_lines",
     "shared_dir",
     "shared_path",
+    "spread",
     "stage",
     "write_scored",
 ]

@@ -52,6 +52,28 @@ def _write_and_scan(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_splits(df: DataFrame) -> bool:
+    """Whether a scan comes in fewer splits than the session has cores.
+
+    So do small tables, and large ones that do not split (compressed text,
+    huge row groups). Ask only of plans without a shuffle: counting the splits
+    of those runs nothing.
+    """
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` with rows dealt evenly to all cores if it has too few splits.
+
+    Worth a shuffle before iterating over the rows, where the largest split
+    would set the pace of every step. A table that splits well, as large ones
+    do, is returned as it is. For plans without a shuffle, as ``few_splits``.
+    """
+    if few_splits(df):
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df
+
+
 @contextmanager
 def held(df: DataFrame, reuse: str) -> Iterator[DataFrame]:
     """``df`` made ready for several passes, for the length of a ``with`` block.

@@ -153,7 +153,11 @@ def test_j2_reuse_does_not_change_the_result(spark, files, trained, tmp_path, re
         reuse=reuse,
         partitions=2,
     )
-    assert rows(report.metrics) == rows(trained[0].metrics)
+    for dataset in ("training", "validation"):
+        # The order in which classes are summed may move the last digit.
+        assert _values(report.metrics, dataset) == pytest.approx(
+            _values(trained[0].metrics, dataset), abs=1e-12
+        )
 
 
 def test_j2_failure_to_write_raises(spark, files, tmp_path):
@@ -176,7 +180,9 @@ def test_j3_loaded_model_repeats_the_validation_report(spark, files, trained, tm
         model_path=str(out / "model"),
         scored_path=str(tmp_path / "scored"),
     )
-    assert _values(again.metrics, "test") == _values(report.metrics, "validation")
+    assert _values(again.metrics, "test") == pytest.approx(
+        _values(report.metrics, "validation"), abs=1e-12
+    )
     assert again.scored.count() == files["n_check"]
 
 

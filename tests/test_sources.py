@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tallygrove.operators import prepare_table
 from tallygrove.sources import (
+    few_splits,
     held,
     preview,
     read_table,
     report_lines,
     shared_dir,
     shared_path,
+    spread,
     stage,
     write_scored,
 )
@@ -167,3 +169,13 @@ def test_c1_the_staged_copy_is_emptied_even_after_a_failure(spark):
 def test_c1_unknown_way_of_reuse(spark):
     with pytest.raises(ValueError), held(spark.range(1), "forever"):
         pass
+
+
+def test_few_splits_are_spread_and_many_are_left_alone(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 100, 1, 1)
+    assert few_splits(few)
+    assert spread(few).rdd.getNumPartitions() == cores
+    assert rows(spread(few)) == rows(few)
+    many = spark.range(0, 100, 1, cores + 1)
+    assert not few_splits(many) and spread(many) is many
