@@ -45,12 +45,12 @@ from tallygrove.plans.jobs import (
     train_job,
 )
 from tallygrove.sources import (
-    few_splits,
     preview,
     read_table,
     shared_path,
     spread,
     stage,
+    worth_spreading,
     write_scored,
 )
 
@@ -101,8 +101,8 @@ def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit(flat: DataFrame, features: Sequence[str]) -> PipelineModel:
-    """Fit on a scan, with the rows staged for all cores if it has few splits."""
-    rows = stage(spread(flat), "training") if few_splits(flat) else flat
+    """Fit on a scan, with the rows staged for all cores where that pays."""
+    rows = stage(spread(flat), "training") if worth_spreading(flat) else flat
     return fit(assemble(rows, features))
 
 

@@ -27,12 +27,12 @@ from tallygrove.operators import (
     scores_natively,
 )
 from tallygrove.sources import (
-    few_splits,
     held,
     preview,
     read_table,
     spread,
     stage,
+    worth_spreading,
     write_scored,
 )
 
@@ -158,8 +158,8 @@ def train_job(
 
     Training reads its table three times (twice in the fit, once for its own
     metrics). ``reuse`` says what to keep in between (see ``held``). Unset, a
-    file that is text, or that comes in fewer splits than there are cores, is
-    staged as Parquet once, in as many parts as cores in the latter case;
+    file that is text, or whose many rows come in fewer splits than there are
+    cores, is staged as Parquet once, spread over the cores in the latter case;
     anything else is read again.
     ``partitions`` and ``settings`` go to ``fit``. The model is saved as soon
     as it exists. Metrics have columns ``dataset, metric, value``. The model's
@@ -172,10 +172,9 @@ def train_job(
     """
     rows = prepared(spark, training)
     if reuse is None:
-        if training.is_text or (training.is_scan and few_splits(rows)):
+        reuse = "stage" if training.is_text else "rescan"
+        if training.is_scan and worth_spreading(rows):
             reuse, rows = "stage", spread(rows)
-        else:
-            reuse = "rescan"
     with held(rows, reuse) as flat:
         model = fit(assemble(flat, training.features), partitions=partitions, **settings)
         save(model, model_path)

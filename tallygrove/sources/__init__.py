@@ -1,9 +1,15 @@
 from tallygrove.sources.sinks import preview, report_lines, write_scored
 from tallygrove.sources.tables import read_table
-from tallygrove.sources.workspace import few_splits, held, shared_dir, shared_path, spread, stage
+from tallygrove.sources.workspace import (
+    held,
+    shared_dir,
+    shared_path,
+    spread,
+    stage,
+    worth_spreading,
+)
 
 __all__ = [
-    "few_splits",
     "held",
     "preview",
     "read_table",
@@ -12,5 +18,6 @@ __all__ = [
     "shared_path",
     "spread",
     "stage",
+    "worth_spreading",
     "write_scored",
 ]

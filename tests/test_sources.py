@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallygrove.operators import prepare_table
 from tallygrove.sources import (
-    few_splits,
     held,
     preview,
     read_table,
@@ -16,8 +15,10 @@ from tallygrove.sources import (
     shared_path,
     spread,
     stage,
+    worth_spreading,
     write_scored,
 )
+from tallygrove.sources.workspace import SPREAD_ROWS_PER_CORE
 
 
 def _file(tmp_path, text):
@@ -171,11 +172,12 @@ def test_c1_unknown_way_of_reuse(spark):
         pass
 
 
-def test_few_splits_are_spread_and_many_are_left_alone(spark):
+def test_rows_are_spread_if_splits_are_few_and_rows_many(spark):
     cores = spark.sparkContext.defaultParallelism
-    few = spark.range(0, 100, 1, 1)
-    assert few_splits(few)
+    enough = SPREAD_ROWS_PER_CORE * cores
+    few = spark.range(0, enough, 1, 1)
+    assert worth_spreading(few)
     assert spread(few).rdd.getNumPartitions() == cores
-    assert rows(spread(few)) == rows(few)
-    many = spark.range(0, 100, 1, cores + 1)
-    assert not few_splits(many) and spread(many) is many
+    assert rows(spread(few.limit(99))) == rows(few.limit(99))
+    assert not worth_spreading(spark.range(0, enough - 1, 1, 1))
+    assert not worth_spreading(spark.range(0, enough, 1, cores))
