@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,52 +65,50 @@ def targets(sizes: Sequence[int], weights: Sequence[float], total: int, most: in
     ]
 
 
-def _budget_table(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(rows, names))
+def budgets(docs: DataFrame, *, weights: Sequence[float] = (1, 2, 3), max_sources: int = 100_000) -> DataFrame:
+    """source, source_size, target, rounds, threshold of each source of ``docs``.
 
-
-def mix(docs: DataFrame, *, weights: Sequence[float] = (1, 2, 3), max_sources: int = 100_000) -> DataFrame:
-    """For each document: its source's size and target, and the words taken of it.
-
-    ``docs`` needs doc_id, text and source; ``weights`` repeat over the sources in
-    code point order. Returns doc_id, source, size, source_size, target, taken.
+    ``docs`` needs doc_id, size and source and is read several times: stage it first.
+    ``weights`` repeat over the sources in code point order.
     """
-    spark = docs.sparkSession
-    rows = staged(
-        docs.select("doc_id", "source", size().alias("size"), order_hash().alias("hash")),
-        "sizes",
-    )
-    known = rows.groupBy("source").agg(F.sum("size").alias("n")).limit(max_sources + 1).collect()
+    known = docs.groupBy("source").agg(F.sum("size").alias("n")).limit(max_sources + 1).collect()
     if len(known) > max_sources:
         raise ValueError(f"more than {max_sources} sources to mix")
     known.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     sizes = [r["n"] for r in known]
     goal = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], sum(sizes))
-
     number = {r["source"]: i for i, r in enumerate(known)}
     rounds = [min(MOST_ROUNDS, int(t // s)) if s else 0 for t, s in zip(goal, sizes, strict=True)]
     rest = [t - r * s for t, r, s in zip(goal, rounds, sizes, strict=True)]
-    threshold = _thresholds(rows, number, rest)
-
-    table = _budget_table(
-        spark,
-        [(r["source"], sizes[i], goal[i], rounds[i], threshold[i]) for r, i in zip(known, range(len(known)), strict=True)],
+    threshold = _thresholds(docs, number, rest)
+    return docs.sparkSession.createDataFrame(
+        list(zip(number, sizes, goal, rounds, threshold, strict=True)),
         "source string, source_size long, target double, rounds long, threshold long",
     )
-    same = rows["source"].eqNullSafe(table["source"])
-    return rows.join(table, same).select(
-        "doc_id",
-        rows["source"],
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * (F.col("rounds") + (F.col("hash") < F.col("threshold")).cast("long"))).alias("taken"),
+
+
+def mix(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``docs`` with source_size, target and copies, how often each is to be taken.
+
+    ``chosen`` comes from ``budgets``: one row per source, so it is broadcast and
+    no document moves.
+    """
+    table = F.broadcast(chosen.withColumnRenamed("source", "_source"))
+    more = (order_hash() < F.col("threshold")).cast("long")
+    return docs.join(table, docs["source"].eqNullSafe(table["_source"])).select(
+        *[docs[c] for c in docs.columns], "source_size", "target", (F.col("rounds") + more).alias("copies")
     )
 
 
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source and size of every document, written to the shared folder."""
+    return staged(docs.select("doc_id", "source", size().alias("size")), "sizes")
+
+
 def _thresholds(rows: DataFrame, number: dict[str | None, int], rest: list[float]) -> list[int]:
     """Per source: the hash below which its documents' sizes come nearest to ``rest``."""
     spark = rows.sparkSession
+    rows = rows.select("source", "size", order_hash().alias("hash"))
     schema = T.StructType(
         [T.StructField("key", T.StringType()), T.StructField("prefix", T.LongType()), T.StructField("need", T.DoubleType())]
     )
@@ -159,14 +157,15 @@ def _thresholds(rows: DataFrame, number: dict[str | None, int], rest: list[float
 
 
 def _by_source():
-    from pyspark.sql import Window
-
     return Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken and source of every document."""
-    return mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    rows = sized(read(spark, sf_dir, "documents"))
+    return mix(rows, budgets(rows)).select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
 
 
 OP1_SQL = r"""

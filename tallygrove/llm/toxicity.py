@@ -5,9 +5,9 @@ between (skip-grams) and word stems it holds, each once. The learner keeps a rat
 of its own for each coordinate and drives weights of uninformative ones to exactly
 zero (L1), so the model is a short list of weights, at most ``DIMENSIONS`` long.
 
-Training reads a bounded sample of the labelled rows: ``max_rows``, chosen by a
-hash of doc_id, so the same rows on every run. They are dealt by that hash to
-``SHARDS`` learners whose weights are averaged. Scoring reads every whole text.
+Training reads a bounded sample of the labelled rows: ``max_rows``, chosen and
+ordered by a hash of doc_id, so the same on every run. All tasks find their features;
+one task learns, as each step depends on the one before. Scoring reads every text.
 
 Defined cases: a null text scores like an empty one, that is the bias alone; null
 or conflicting labels: null ones are ignored, of several labels of a document the
@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from tallygrove.llm.common import mix, read, word_hashes, words
 
 DIMENSIONS = 1 << 18
-SHARDS = 4
 STEM_BYTES = 4
 PASSES = 3
-RATE, RATE_BASE, L1, L2 = 0.1, 1.0, 4.0, 1.0
+#: Scores from here on are predictions of label 1.
+THRESHOLD = 0.3
+RATE, RATE_BASE, L1, L2 = 0.3, 1.0, 4.0, 1.0
 
 
 def features(text: str | None) -> np.ndarray:
@@ -68,11 +69,23 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return weights(np.arange(DIMENSIONS + 1))
 
 
-def _learn(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["rank", "text"], kind="stable")
-    w = ftrl([features(t) for t in rows["text"]], rows["label"].to_numpy(float))
+def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [features(t.as_py()).astype(np.int32) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))],
+            ["rank", "label", "features"],
+        )
+
+
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, labels = [], []
+    for batch in batches:
+        labels += batch.column(1).to_pylist()
+        rows += [row.values.to_numpy() for row in batch.column(2)]
+    w = ftrl(rows, np.array(labels))
     at = np.flatnonzero(w)
-    return pd.DataFrame({"feature": at, "weight": w[at]})
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["feature", "weight"])
 
 
 def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 16_384) -> np.ndarray:
@@ -95,17 +108,16 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 16_384) -> np.n
     rank = F.conv(F.substring(rank, 1, 8), 16, 10).cast("long")
     sample = known.withColumn("rank", rank).where(F.col("rank") < F.lit(int(share * (1 << 32))))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.join(F.broadcast(sample), "doc_id").select("rank", "label", "text")
     learned = (
-        texts.join(F.broadcast(sample), "doc_id")
-        .select("rank", "text", "label")
-        .groupBy((F.col("rank") % SHARDS).alias("shard"))
-        .applyInPandas(lambda rows: _learn(rows), "feature long, weight double")
-        .groupBy("feature")
-        .agg(F.sum("weight").alias("weight"))
+        rows.mapInArrow(_feature_rows, "rank long, label double, features array<int>")
+        .repartition(1)
+        .sortWithinPartitions("rank", "label", "features")
+        .mapInArrow(_learn, "feature long, weight double")
         .toPandas()
     )
     weights = np.zeros(DIMENSIONS + 1)
-    weights[learned["feature"].to_numpy(np.int64)] = learned["weight"].to_numpy() / SHARDS
+    weights[learned["feature"].to_numpy(np.int64)] = learned["weight"].to_numpy()
     return weights
 
 
@@ -138,5 +150,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         held_out().alias("held_out"),
         "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
