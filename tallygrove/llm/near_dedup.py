@@ -57,58 +57,84 @@ def _uniform(seed: np.ndarray, salt: int) -> np.ndarray:
     return (bits.astype(np.float64) + 1.0) / float(1 << 53)
 
 
-def dart_signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """For each of ``k`` coordinates, the identity of the dart of lowest rank.
+def dart_signatures(elements: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+    """For each set and each of ``k`` coordinates, the dart of lowest rank.
 
-    ``elements`` are distinct 64-bit hashes, ``weights`` positive numbers.
+    Sets lie one behind the other: the first ``sizes[0]`` of the ``elements``, distinct
+    64-bit hashes with positive ``weights``, are the first set, and so on; no set is
+    empty.
     """
-    slabs_of = np.ceil(np.log2(np.maximum(weights, 1.0))).astype(int)
-    deepest = int(slabs_of.max())
-    seeds, widths, lows, tops = [], [], [], []
-    for s in range(deepest + 1):
-        has = slabs_of >= s if s else np.ones(len(elements), bool)
-        low, width = (0.0, 1.0) if s == 0 else (float(1 << (s - 1)), float(1 << (s - 1)))
-        seeds.append(mix(elements[has] + _times(s, 0xD1B54A32D192ED03)))
-        widths.append(np.full(int(has.sum()), width))
-        lows.append(np.full(int(has.sum()), low))
-        tops.append(weights[has])
-    seed, width = np.concatenate(seeds), np.concatenate(widths)
-    low, top = np.concatenate(lows), np.concatenate(tops)
-    limit = (k * np.log(k) + 2 * k) / float(weights.sum())
-    while True:
-        best = np.full(k, np.inf)
-        kept = np.zeros(k, np.uint64)
-        alive, rank, number = np.arange(len(seed)), np.zeros(len(seed)), 0
+    sets = len(sizes)
+    owner = np.repeat(np.arange(sets), sizes)
+    slab_of = np.ceil(np.log2(np.maximum(weights, 1.0))).astype(int)
+    parts = []
+    for s in range(int(slab_of.max()) + 1):
+        has = np.flatnonzero(slab_of >= s)
+        width = float(1 << max(s - 1, 0))
+        parts.append((mix(elements[has] + _times(s, 0xD1B54A32D192ED03)), has, width, width if s else 0.0))
+    seed = np.concatenate([p[0] for p in parts])
+    index = np.concatenate([p[1] for p in parts])
+    width = np.concatenate([np.full(len(p[1]), p[2]) for p in parts])
+    low = np.concatenate([np.full(len(p[1]), p[3]) for p in parts])
+    top, owner = weights[index], owner[index]
+    limit = (k * np.log(k) + 2 * k) / np.add.reduceat(weights, np.append(0, np.cumsum(sizes)[:-1]))
+    kept = np.zeros(sets * k, np.uint64)
+    open_ = np.ones(sets, bool)
+    while open_.any():
+        alive = np.flatnonzero(open_[owner])
+        rank = np.zeros(len(alive))
+        thrown: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        number = 0
         while len(alive):
             rank = rank - np.log(_uniform(seed[alive], 3 * number + 1)) / width[alive]
-            near = rank <= limit
+            near = rank <= limit[owner[alive]]
             alive, rank = alive[near], rank[near]
-            if not len(alive):
-                break
             inside = low[alive] + width[alive] * _uniform(seed[alive], 3 * number + 2) <= top[alive]
-            darts = mix(seed[alive[inside]] + _times(3 * number + 3, 0x9E3779B97F4A7C15))
-            at = (darts % np.uint64(k)).astype(np.int64)
-            order = np.argsort(-rank[inside], kind="stable")
-            at, darts, ranks = at[order], darts[order], rank[inside][order]
-            # The lowest rank for each coordinate is written last.
-            lowest = np.full(k, np.inf)
-            dart = np.zeros(k, np.uint64)
-            lowest[at], dart[at] = ranks, darts
-            lower = lowest < best
-            best[lower], kept[lower] = lowest[lower], dart[lower]
+            hit = alive[inside]
+            darts = mix(seed[hit] + _times(3 * number + 3, 0x9E3779B97F4A7C15))
+            thrown.append((owner[hit] * k + (darts % np.uint64(k)).astype(np.int64), rank[inside], darts))
             number += 1
-        if np.isfinite(best).all():
-            return kept
-        limit *= 2.0
+        at, ranks, darts = (np.concatenate([t[i] for t in thrown]) for i in range(3))
+        order = np.argsort(-ranks, kind="stable")  # the lowest rank is written last
+        full = np.zeros(sets * k, bool)
+        full[at] = True
+        kept[at[order]] = darts[order]
+        open_ &= ~full.reshape(sets, k).all(axis=1)
+        limit = np.where(open_, limit * 2.0, limit)
+    return kept.reshape(sets, k)
+
+
+def band_keys(elements: np.ndarray, weights: np.ndarray, sizes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key for each set and band; bands never share keys but by chance."""
+    signature = dart_signatures(elements, weights, sizes, bands * rows).reshape(len(sizes), bands, rows)
+    key = np.tile(np.arange(1, bands + 1, dtype=np.uint64) * _GOLDEN, (len(sizes), 1))
+    for i in range(rows):
+        key = mix(key ^ signature[:, :, i]) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)
+    return key
 
 
-def band_keys(elements: np.ndarray, weights: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key for each band; bands never share keys but by chance."""
-    signature = dart_signature(elements, weights, bands * rows).reshape(bands, rows)
-    key = np.arange(1, bands + 1, dtype=np.uint64) * _GOLDEN
-    for column in signature.T:
-        key = mix(key ^ column) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)
-    return key
+def _signed(sets: list[np.ndarray]) -> tuple[list[bytes | None], list[np.ndarray | None]]:
+    """A digest and the band keys of each shingle set; None for empty ones."""
+    digests: list[bytes | None] = []
+    found = []
+    for s in sets:
+        if not len(s):
+            digests.append(None)
+            continue
+        elements, counts = np.unique(s, return_counts=True)
+        both = mix(elements + counts.astype(np.uint64) * _GOLDEN)
+        digests.append(int(both.sum()).to_bytes(8, "big") + int(np.bitwise_xor.reduce(mix(both))).to_bytes(8, "big"))
+        found.append((elements, counts.astype(float)))
+    if not found:
+        return digests, [None] * len(sets)
+    keys = iter(
+        band_keys(
+            np.concatenate([f[0] for f in found]),
+            np.concatenate([f[1] for f in found]),
+            np.array([len(f[0]) for f in found]),
+        ).view(np.int64)
+    )
+    return digests, [None if d is None else next(keys) for d in digests]
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -116,27 +142,29 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, keys = [], []
-            for text in batch.column(1):
-                s = shingles(text.as_py(), SHINGLE_WORDS)
-                if not len(s):
-                    sets.append(None)
-                    keys.append(None)
-                    continue
-                elements, counts = np.unique(s, return_counts=True)
-                both = mix(elements + counts.astype(np.uint64) * _GOLDEN)
-                sets.append(int(both.sum()).to_bytes(8, "big") + int(np.bitwise_xor.reduce(mix(both))).to_bytes(8, "big"))
-                keys.append(band_keys(elements, counts.astype(float)).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "set_id", "keys"],
-            )
+            ids: list = []
+            waiting: list[np.ndarray] = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids.append(doc_id)
+                waiting.append(shingles(text.as_py(), SHINGLE_WORDS))
+                if sum(map(len, waiting[-64:])) > 1 << 16 or len(waiting) >= 256:
+                    yield _signed_batch(ids, waiting)
+                    ids, waiting = [], []
+            yield _signed_batch(ids, waiting)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         sign, "doc_id long, set_id binary, keys array<long>"
     )
 
 
+def _signed_batch(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+    digests, keys = _signed(sets)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+        ["doc_id", "set_id", "keys"],
+    )
+
+
 def _similar(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """Those of ``pairs`` (a, b: doc_ids) whose texts are similar enough, exactly."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()

@@ -29,7 +29,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,7 +43,7 @@ SMALL = CAPACITY // 8
 #: Ranks are counted within this many hash buckets for each length.
 SALTS = 256
 #: Words kept with their ids in a Python worker before it starts afresh.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
 SPECIAL = "<|endoftext|>"
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -65,10 +64,18 @@ class _Ids(dict):
         self.encode = tiktoken.Encoding(
             "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
+        self.marks = {m: struct.pack("<I", ranks[m.encode()]) for m in ".,"}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        value = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        if word[-1:] in self.marks and word[-2:-1].isalpha():
+            # A mark behind a letter is a token of its own.
+            value = self[word[:-1]] + self.marks[word[-1]]
+        elif word[:1] == "\n" and len(word) > 1:
+            value = self["\n"] + self[word[1:]]
+        else:
+            ids = self.encode(word)
+            value = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = value
         return value
 
     def of(self, text: str) -> bytes:
@@ -77,11 +84,15 @@ class _Ids(dict):
             return self.special.join(self.of(part) for part in text.split(SPECIAL))
         if len(self) > KEPT_WORDS:
             self.clear()
-        # Where every white space is a single blank or line feed, a blank always
-        # begins a token, so that words can be encoded one by one.
+        # Where every white space is a single blank or line feed, a blank begins a
+        # token and a line feed is one, so that words can be encoded one by one.
         if len(text.split()) == text.count(" ") + text.count("\n") + 1:
-            first, *rest = text.split(" ")
-            return self[first] + b"".join([self[" " + w] for w in rest])
+            lines = [line.split(" ") for line in text.split("\n")]
+            parts = []
+            for i, (first, *rest) in enumerate(lines):
+                parts.append(self["\n" + first if i else first])
+                parts += [self[" " + w] for w in rest]
+            return b"".join(parts)
         ids = self.encode(text)
         return struct.pack(f"<{len(ids)}I", *ids)
 

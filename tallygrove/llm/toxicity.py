@@ -35,8 +35,8 @@ THRESHOLD = 0.3
 RATE, RATE_BASE, L1, L2 = 0.3, 1.0, 4.0, 1.0
 
 
-def features(text: str | None) -> np.ndarray:
-    """The distinct feature numbers of a text, each below ``DIMENSIONS``."""
+def _all_features(text: str | None) -> np.ndarray:
+    """The feature numbers of a text, each below ``DIMENSIONS``, repeats included."""
     tokens = words(text)
     if not tokens:
         return np.empty(0, np.int64)
@@ -46,7 +46,12 @@ def features(text: str | None) -> np.ndarray:
     for gap, salt in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F)):
         if len(h) > gap:
             parts.append(mix(h[:-gap] * np.uint64(salt) + h[gap:]))
-    return np.unique(np.concatenate(parts) & np.uint64(DIMENSIONS - 1)).astype(np.int64)
+    return (np.concatenate(parts) & np.uint64(DIMENSIONS - 1)).astype(np.int64)
+
+
+def features(text: str | None) -> np.ndarray:
+    """The distinct feature numbers of a text."""
+    return np.unique(_all_features(text))
 
 
 def ftrl(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
@@ -129,8 +134,13 @@ def score(docs: DataFrame, weights: np.ndarray, *, into: str = "score") -> DataF
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w = shared.value
+        weighs = w != 0
         for texts in batches:
-            sums = [float(w[features(t)].sum(dtype=np.float64)) for t in texts]
+            sums = []
+            for t in texts:
+                found = _all_features(t)
+                found = np.unique(found[weighs[found]])  # few features weigh anything
+                sums.append(float(w[found].sum(dtype=np.float64)))
             yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(np.array(sums) + bias, -35, 35))), dtype=float)
 
     return docs.withColumn(into, scored(F.col("text")))
