@@ -24,6 +24,7 @@ always; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import base64
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,82 +43,45 @@ GROUPS = 64
 SMALL = CAPACITY // 8
 #: Ranks are counted within this many hash buckets for each length.
 SALTS = 256
-#: Words kept with their ids in a Python worker before it starts afresh.
-KEPT_WORDS = 800_000
+#: What the vocabulary's own pattern says, without steps back.
+SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 SPECIAL = "<|endoftext|>"
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class _Ids(dict):
-    """Token ids of words as bytes, found when first asked for."""
+_loaded: dict[str, object] = {}
 
-    def __init__(self, path: str):
-        super().__init__()
-        import base64
 
+def tokenizer(path: str):
+    """The tokenizer of a worker process, loaded once, from a file of ranks."""
+    if path not in _loaded:
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.special = struct.pack("<I", len(ranks))
-        self.encode = tiktoken.Encoding(
-            "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
-        self.marks = {m: struct.pack("<I", ranks[m.encode()]) for m in ".,"}
-
-    def __missing__(self, word: str) -> bytes:
-        if word[-1:] in self.marks and word[-2:-1].isalpha():
-            # A mark behind a letter is a token of its own.
-            value = self[word[:-1]] + self.marks[word[-1]]
-        elif word[:1] == "\n" and len(word) > 1:
-            value = self["\n"] + self[word[1:]]
-        else:
-            ids = self.encode(word)
-            value = struct.pack(f"<{len(ids)}I", *ids)
-        self[word] = value
-        return value
-
-    def of(self, text: str) -> bytes:
-        """The ids of a whole text as little-endian 32-bit numbers."""
-        if SPECIAL in text:
-            return self.special.join(self.of(part) for part in text.split(SPECIAL))
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        # Where every white space is a single blank or line feed, a blank begins a
-        # token and a line feed is one, so that words can be encoded one by one.
-        if len(text.split()) == text.count(" ") + text.count("\n") + 1:
-            lines = [line.split(" ") for line in text.split("\n")]
-            parts = []
-            for i, (first, *rest) in enumerate(lines):
-                parts.append(self["\n" + first if i else first])
-                parts += [self[" " + w] for w in rest]
-            return b"".join(parts)
-        ids = self.encode(text)
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-
-_loaded: dict[str, _Ids] = {}
-
-
-def tokenizer(path: str) -> _Ids:
-    """The tokenizer of a worker process; it is loaded once."""
-    if path not in _loaded:
-        _loaded[path] = _Ids(path)
+        _loaded[path] = tiktoken.Encoding(
+            "bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)}
+        )
     return _loaded[path]
 
 
+def token_ids(text: str | None, path: str) -> bytes:
+    """The ids of a whole text as little-endian 32-bit numbers."""
+    ids = tokenizer(path).encode_to_numpy(text or "", allowed_special="all")
+    return ids.astype("<u4", copy=False).tobytes()
+
+
 def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document."""
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     end = struct.pack("<I", END_ID)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = tokenizer(path).of
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = ids_of(text.as_py() or "") + end
+                ids = token_ids(text.as_py(), path) + end
                 total = len(ids) // 4
                 stop = (total - 1) % capacity + 1
                 start = piece = 0
