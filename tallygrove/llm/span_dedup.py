@@ -4,18 +4,18 @@ A text is cut into units, lines by default, whose places in it (start, stop, in
 characters) are kept. A unit is normalised (lower case, each run of white space one
 blank, none at the ends) and hashed. Digests are grouped over all documents; the
 occurrence that ranks first, by doc_id and then by place, stays, all others are
-removed. Units of fewer than ``min_words`` words are left alone, as a line of one or
-two words repeats without being copied.
+removed. Units of fewer than ``min_words`` words are left alone, as a line of a word
+or two repeats without being copied.
 
-All is DataFrame functions: the digests that occur once are gone after the first
-aggregation, whose minima are found before the shuffle, and only the places of
-removed units meet the documents again.
+All is DataFrame functions. Digests that occur once are gone after the first
+aggregation, whose minima are found before the shuffle, so a frequent line is one row
+per task there; only the places of removed units meet the documents again.
 
 Defined cases: a null text has no units and stays null; an empty text stays empty; of
-equal units within a document the first stays; rows with the same doc_id share their
-places, so that equal rows keep or lose the same units; rows with a null doc_id are
-left as they are and remove nothing; an empty table gives an empty result; columns of
-the table other than doc_id and text are not read.
+equal units within a document the first stays; equal rows keep or lose the same
+units; rows of one doc_id with different texts are told apart by their texts' hash;
+rows with a null doc_id are left as they are and remove nothing; an empty table gives
+an empty result; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -26,27 +26,113 @@ from pyspark.sql import functions as F
 from tallygrove.llm.common import read, staged
 
 MIN_WORDS = 4
-#: What ends a unit. Lengths matter: places are counted from them.
+#: What separates units.
 ENDS = {"line": "\n", "paragraph": "\n\n"}
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("row_hash"))
+
+
 def units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, start, stop, digest of the units that take part."""
+    """doc_id, row_hash, n (a unit's number), digest of the units that take part."""
+    parts = _keyed(docs).where("doc_id is not null and text is not null").select(
+        "doc_id", "row_hash", F.posexplode(F.split("text", ENDS[unit], -1)).alias("n", "unit")
+    )
+    normal = F.lower(F.trim(F.regexp_replace("unit", r"[ \t\r\n\x0B\f]+", " ")))
+    return (
+        parts.select("doc_id", "row_hash", "n", normal.alias("normal"))
+        .where(F.length("normal") - F.length(F.replace("normal", F.lit(" "))) + 1 >= min_words)
+        .where("normal <> ''")
+        .select("doc_id", "row_hash", "n", F.md5("normal").alias("digest"))
+    )
+
+
+def dedup_units(docs: DataFrame, *, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text without repeated units, n_removed and removed, per document.
+
+    ``removed`` lists (start, stop, first_doc_id) in the original text's characters;
+    a removed unit takes the separator behind it along, or the one before it if it
+    is the last.
+    """
     end = ENDS[unit]
+    found = staged(units(docs, unit, min_words), "units")
+    repeated = (
+        found.groupBy("digest")
+        .agg(F.min(F.struct("doc_id", "n", "row_hash")).alias("first"), F.count(F.lit(1)).alias("times"))
+        .where("times > 1")
+        .select("digest", "first")
+    )
+    gone = (
+        found.join(repeated, "digest")
+        .where(F.struct("doc_id", "n", "row_hash") != F.col("first"))
+        .select("doc_id", "row_hash", F.struct("n", F.col("first.doc_id").alias("first_doc_id")).alias("hit"))
+        .distinct()
+        # As many as a document has units.
+        .groupBy("doc_id", "row_hash")
+        .agg(F.array_sort(F.collect_list("hit")).alias("hits"))
+    )
+    # Nothing but the documents that lose units is rebuilt.
+    joined = _keyed(docs).join(gone, ["doc_id", "row_hash"], "left")
+    none = F.array().cast("array<struct<start:bigint,stop:bigint,first_doc_id:bigint>>")
     parts = F.split("text", end, -1)
-    # A unit starts where the ones before it, with their ends, stop.
-    placed = F.aggregate(
-        parts,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,unit:string>>").alias("out")),
-        lambda acc, u: F.struct(
-            (acc["at"] + F.length(u) + len(end)).alias("at"), acc["out"].alias("out")
+    places = F.transform(F.col("hits"), lambda h: h["n"])
+    # Where each unit starts: the lengths before it, in one pass.
+    starts = F.aggregate(
+        F.transform(F.col("parts"), lambda u: F.length(u).cast("long")),
+        F.array(F.lit(0).cast("long")),
+        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n + len(end))),
+    )
+    spans = F.transform(
+        F.col("hits"),
+        lambda h: F.struct(
+            F.element_at(F.col("starts"), h["n"] + 1).alias("start"),
+            (F.element_at(F.col("starts"), h["n"] + 2) - len(end)).alias("stop"),
+            h["first_doc_id"].alias("first_doc_id"),
         ),
     )
-    del placed  # places come from a window-free running sum below
-    exploded = docs.where("doc_id is not null and text is not null").select(
-        F.col("doc_id").cast("long"), F.posexplode(parts).alias("n", "unit")
+    kept = F.array_join(
+        F.filter(F.col("parts"), lambda u, i: ~F.array_contains(F.col("places"), i)), end
+    )
+    return (
+        joined.withColumn("parts", F.when(F.col("hits").isNotNull(), parts))
+        .withColumn("starts", F.when(F.col("hits").isNotNull(), starts))
+        .withColumn("places", places)
+        .select(
+            "doc_id",
+            F.when(F.col("hits").isNotNull(), kept).otherwise(F.col("text")).alias("text"),
+            F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")).alias("n_removed"),
+            F.coalesce(spans, none).alias("removed"),
+        )
+    )
+
+
+def op3_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text, n_removed, spans ("start-stop,...") of every document."""
+    spans = F.transform("removed", lambda r: F.concat_ws("-", r["start"], r["stop"]))
+    return dedup_units(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "text", "n_removed", F.array_join(spans, ",").alias("spans")
     )
-    normal = F.lower(F.trim(F.regexp_replace("unit", r"\s+", " ")))
-    return exploded.select("doc_id", "n", normal.alias("normal")).where(
-        F.size(F.split("normal", " ")) >= min_words
-    ).select("doc_id", "n", F.md5("normal").alias("digest"))
+
+
+OP3_SQL = r"""
+WITH parts AS (
+  SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
+units AS (
+  SELECT doc_id, unnest(p) AS unit, generate_subscripts(p, 1) AS n FROM parts),
+placed AS (
+  SELECT *, sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY n) - length(unit) - 1 AS start,
+         lower(trim(regexp_replace(unit, '[ \t\r\n\x0B\f]+', ' ', 'g'))) AS bare
+  FROM units),
+ranked AS (
+  SELECT *, bare <> '' AND length(bare) - length(replace(bare, ' ', '')) + 1 >= 4
+            AND row_number() OVER (PARTITION BY bare ORDER BY doc_id, n) > 1 AS gone
+  FROM placed),
+rebuilt AS (
+  SELECT doc_id, coalesce(string_agg(unit, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text,
+         (count(*) FILTER (gone))::INT AS n_removed,
+         coalesce(string_agg(start || '-' || (start + length(unit)), ',' ORDER BY n) FILTER (gone), '') AS spans
+  FROM ranked GROUP BY doc_id)
+SELECT d.doc_id, r.text, coalesce(r.n_removed, 0) AS n_removed, coalesce(r.spans, '') AS spans
+FROM documents d LEFT JOIN rebuilt r ON d.doc_id = r.doc_id
+"""
