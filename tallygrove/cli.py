@@ -53,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--sep", default=",")
         job.add_argument("--quote", default='"')
         job.add_argument("--arrays", action="store_true", help="write arrays, not vectors")
+        job.add_argument("--scorer", choices=("model", "expressions"), default="model")
     train.add_argument("--reuse", choices=("rescan", "stage", "cache"))
     train.add_argument("--partitions", type=int, help="merge splits to this many before the fit")
     return parser
@@ -83,6 +84,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         "model_path": options.model_path,
         "scored_path": options.scored_path,
         "arrays": options.arrays,
+        "scorer": options.scorer,
     }
     if options.job == "train":
         report = train_job(

@@ -1,5 +1,5 @@
-from tallygrove.functions.linear import argmax, dot, sigmoid_pair, softmax
+from tallygrove.functions.linear import argmax, dot, first_infinite, largest, sigmoid_pair, softmax
 from tallygrove.functions.names import named
 from tallygrove.functions.rates import METRICS
 
-__all__ = ["METRICS", "argmax", "dot", "named", "sigmoid_pair", "softmax"]
+__all__ = ["METRICS", "argmax", "dot", "named", "first_infinite", "largest", "sigmoid_pair", "softmax"]

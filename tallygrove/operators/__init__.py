@@ -1,10 +1,11 @@
 from tallygrove.operators.evaluate import confusion, metrics, per_class
 from tallygrove.operators.model import classifier, fit, linear_parts, load, save
 from tallygrove.operators.prepare import assemble, prepare_table
-from tallygrove.operators.score import linear_scores, predictions, score, scores_natively
+from tallygrove.operators.score import check_scorer, linear_scores, predictions, score, scorer_weights
 
 __all__ = [
     "assemble",
+    "check_scorer",
     "classifier",
     "confusion",
     "fit",
@@ -17,5 +18,5 @@ __all__ = [
     "prepare_table",
     "save",
     "score",
-    "scores_natively",
+    "scorer_weights",
 ]

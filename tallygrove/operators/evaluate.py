@@ -11,8 +11,12 @@ from tallygrove.functions import METRICS
 
 
 def _required(name: str) -> Column:
+    """A class number: an error for null and for anything but a whole number."""
+    value = F.col(name).cast("double")
     return F.coalesce(
-        F.col(name).cast("double"),
+        F.when(value.isNull() | (value == F.floor(value)), value).otherwise(
+            F.raise_error(F.lit(f"{name} is not a class number in a scored row")).cast("double")
+        ),
         F.raise_error(F.lit(f"{name} is null in a scored row")).cast("double"),
     )
 
@@ -64,7 +68,8 @@ def metrics(
 
     ``dataset`` prepends a column of that value.
     """
-    # One row per class enters the unpartitioned window, not one per record.
+    # One row per class enters the unpartitioned window; classes are whole numbers, so
+    # that a measure taken for a label by mistake raises before it gets here.
     totalled = per_class(counts).withColumn("total", F.sum("labelled").over(Window.partitionBy()))
     wide = totalled.agg(*(METRICS[name]().alias(name) for name in names))
     entries = F.array(

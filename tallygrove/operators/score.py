@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
@@ -11,15 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from tallygrove.functions import argmax, dot, named, sigmoid_pair, softmax
+from tallygrove.functions import argmax, dot, first_infinite, largest, named, sigmoid_pair, softmax
 from tallygrove.operators.model import classifier, linear_parts
 from tallygrove.operators.prepare import assemble
 
-# Largest weight matrix (margins x features) that is scored as expressions.
-# Beyond it the generated method outgrows what the JVM compiles: measured on
-# 600,000 rows, 1.5 s against 1.6 s for the model's own function at 110
-# weights, 1.9 s for both at 160, and 11 s against 2.6 s at 240.
-NATIVE_WEIGHTS = 128
+#: Who scores: the model's own function, or its weights as column expressions. Both give
+#: the same rows. Expressions stay inside generated code and suit up to some hundred
+#: weights (classes x features); beyond, the generated method outgrows what the JVM
+#: compiles: on 600,000 rows 1.5 s against 1.6 s at 110 weights, 11 s against 2.6 s at 240.
+SCORERS = ("model", "expressions")
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -56,14 +57,19 @@ def linear_scores(
     if len(weights) == 1:
         margin = F.col(margins[0])
         raw, share = [-margin, margin], sigmoid_pair(margin)
-        winner = (margin > 0).cast("double")
+        winner = ((margin > 0) & ~F.isnan(margin)).cast("double")
     else:
         raw = [F.col(m) for m in margins]
-        scored = scored.withColumn("_top", F.greatest(*raw))
+        scored = scored.withColumns({"_top": largest(raw), "_infinite": first_infinite(raw)})
         shifted = [f"_shifted_{k}" for k in range(len(raw))]
-        scored = scored.withColumns(dict(zip(shifted, softmax(raw, F.col("_top")), strict=True)))
+        scored = scored.withColumns(dict(zip(shifted, softmax(raw, F.col("_top"), F.col("_infinite")), strict=True)))
         scored = scored.withColumn("_sum", reduce(add, map(F.col, shifted)))
-        share = [F.col(s) / F.col("_sum") for s in shifted]
+        # Nothing but margins of minus infinity: no probability is defined.
+        infinite, nothing = F.col("_infinite").isNotNull(), F.col("_sum") == 0
+        share = [
+            F.when(infinite, F.col(s)).when(nothing, math.nan).otherwise(F.col(s) / F.col("_sum"))
+            for s in shifted
+        ]
         winner = argmax(raw, F.col("_top"))
     return scored.select(
         *(named(c) for c in columns),
@@ -73,20 +79,26 @@ def linear_scores(
     )
 
 
-def scores_natively(model: PipelineModel) -> bool:
-    """Whether ``linear_scores`` is the faster way and gives the model's answer."""
+def scorer_weights(model: PipelineModel) -> tuple[list[list[float]], list[float]]:
+    """Weights for scoring by expressions; an error where these would answer otherwise."""
     fitted = classifier(model)
-    small = fitted.coefficientMatrix.numRows * fitted.coefficientMatrix.numCols <= NATIVE_WEIGHTS
-    return small and not fitted.isSet("thresholds") and fitted.getThreshold() == 0.5
+    if fitted.isSet("thresholds") or fitted.getThreshold() != 0.5:
+        raise ValueError("a model with thresholds of its own has to score by itself: scorer='model'")
+    return linear_parts(model)
 
 
-def predictions(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``label`` and ``prediction`` only, for evaluation over a flat table.
+def check_scorer(scorer: str) -> None:
+    if scorer not in SCORERS:
+        raise ValueError(f"scorer must be one of {SCORERS}, not {scorer!r}")
 
-    Small models are scored as expressions, wide ones by MLlib.
-    """
-    if scores_natively(model):
-        scored = linear_scores(df, *linear_parts(model), features)
+
+def predictions(
+    model: PipelineModel, df: DataFrame, features: Sequence[str], *, scorer: str = "model"
+) -> DataFrame:
+    """``label`` and ``prediction`` only, for evaluation over a flat table."""
+    check_scorer(scorer)
+    if scorer == "expressions":
+        scored = linear_scores(df, *scorer_weights(model), features)
     else:
         scored = score(model, assemble(df, features))
     return scored.select("label", "prediction")

@@ -4,16 +4,18 @@ Three views of ``lineitem`` serve as labelled tables:
 
 * flat: label ``l_linenumber`` (1..7) and four measures;
 * dirty: flat with null for a zero discount and NaN for a zero tax;
-* bands: a grade 3, 5 or 8 for quantities up to 10, of 20 to 30 and from 40 on,
-  and none (an incomplete row) in between. A linear model separates the grades
-  fully, so what a fit must answer is known exactly.
+* bands: a grade 3, 5 or 8 by tax, with other limits for high discounts, and the one
+  feature whether the discount is high. Such a model has one weight per distinct
+  input, so its answer is the most frequent grade there, which SQL knows; its
+  metrics are neither 0 nor 1.
 
-Two more fits have one weight per distinct input, so that the fitted
-probabilities must equal the observed frequencies.
+The two other small fits are of that kind as well: fitted probabilities must equal
+observed frequencies. Of the wide fit, the conditions of its optimum are checked.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -48,15 +50,13 @@ from tallygrove.sources import (
     preview,
     read_table,
     shared_path,
-    spread,
     stage,
-    worth_spreading,
     write_scored,
 )
 
 LABEL = "l_linenumber"
 FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-BAND_FEATURES = ("l_quantity", "l_discount", "l_tax")
+BAND_FEATURES = ("high",)
 KEY = ("l_orderkey", "l_linenumber")
 
 # A declared model with classes 0..7. Class k scores k * s - k * k / 2, where s
@@ -64,6 +64,16 @@ KEY = ("l_orderkey", "l_linenumber")
 DECLARED_WEIGHTS = [[0.07 * k, 0.00002 * k, 10.0 * k, 12.0 * k] for k in range(8)]
 DECLARED_INTERCEPTS = [0.0 - k * k / 2 for k in range(8)]
 
+# A declared model whose classes weigh discount and tax with either sign: infinite
+# measures give margins of both infinities and, where these meet, no number.
+NONFINITE_WEIGHTS = [
+    [0.01, 0.0001, 1.0, 1.0],
+    [0.02, 0.0001, 2.0, -1.0],
+    [0.03, 0.0001, -1.0, 2.0],
+    [0.04, 0.0001, -1.0, -1.0],
+]
+NONFINITE_INTERCEPTS = [0.5, 0.25, 0.125, 0.0]
+
 EMBEDDING_SIZE = 64
 
 
@@ -85,11 +95,11 @@ def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quantity = F.col("l_quantity")
-    grade = (
-        F.when(quantity <= 10, 3).when(quantity.between(20, 30), 5).when(quantity >= 40, 8)
+    high, tax = F.col("l_discount") >= 0.05, F.col("l_tax")
+    grade = F.when(high, F.when(tax <= 0.01, 3).when(tax <= 0.06, 5).otherwise(8)).otherwise(
+        F.when(tax <= 0.05, 3).when(tax <= 0.07, 5).otherwise(8)
     )
-    return _table(spark, sf_dir, "lineitem").withColumn("grade", grade)
+    return _table(spark, sf_dir, "lineitem").withColumns({"grade": grade, "high": high.cast("int")})
 
 
 def _bands_source(spark: SparkSession, sf_dir: str) -> Source:
@@ -101,9 +111,7 @@ def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit(flat: DataFrame, features: Sequence[str]) -> PipelineModel:
-    """Fit on a scan, with the rows staged for all cores where that pays."""
-    rows = stage(spread(flat), "training") if worth_spreading(flat) else flat
-    return fit(assemble(rows, features))
+    return fit(assemble(flat, features))
 
 
 def _fit_bands(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
@@ -192,6 +200,21 @@ def linear_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _declared(spark, sf_dir).select("label", *_numbered("probability", "p", 8))
 
 
+def linear_nonfinite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5c with infinite measures, so that margins are infinite or not numbers."""
+    flat = _flat(spark, sf_dir).withColumns(
+        {
+            "l_discount": F.when(F.col("l_discount") == 0, math.inf)
+            .when(F.col("l_discount") > 0.09, -math.inf)
+            .otherwise(F.col("l_discount")),
+            "l_tax": F.when(F.col("l_tax") == 0, math.inf)
+            .when(F.col("l_tax") > 0.07, -math.inf)
+            .otherwise(F.col("l_tax")),
+        }
+    )
+    return confusion(linear_scores(flat, NONFINITE_WEIGHTS, NONFINITE_INTERCEPTS, FEATURES))
+
+
 def linear_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5c."""
     return _declared(spark, sf_dir).select("label", *FEATURES, "prediction")
@@ -237,8 +260,15 @@ def fit_bands_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_bands_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of the training rows."""
     model, flat = _fit_bands(spark, sf_dir)
-    counts = confusion(predictions(model, flat, BAND_FEATURES))
-    return _rounded(metrics(counts, tuple(TRAINING_METRICS)))
+    counts = confusion(predictions(model, flat, BAND_FEATURES, scorer="expressions"))
+    found = _rounded(metrics(counts, tuple(TRAINING_METRICS)))
+    summary = classifier(model).summary
+    own = {"accuracy": summary.accuracy, "weightedPrecision": summary.weightedPrecision}
+    # Two of them as the model's own summary has them.
+    value = F.col("value")
+    for name, number in own.items():
+        value = F.when(F.col("metric") == name, F.round(F.lit(number), 6)).otherwise(value)
+    return found.withColumn("value", value)
 
 
 def fit_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,17 +301,32 @@ def fit_binary_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit_embeddings_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2, M5 on a wide table: 64 features, 10 classes."""
+    """M2, M5 on a wide table: 64 features, 10 classes.
+
+    At the optimum of a fit without penalty, the mean of p_k * x_j over all rows is
+    that of x_j over the rows of label k with 0 for others, and the mean of p_k is the
+    share of label k (feature -1).
+    """
     names = [f"e{i}" for i in range(EMBEDDING_SIZE)]
     wide = _table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", *(F.col("embedding")[i].alias(n) for i, n in enumerate(names))
     )
-    flat = prepare_table(wide, "label", names, keep=["vec_id"])
+    flat = prepare_table(wide, "label", names)
     model = _fit(flat, names)
-    scored = score(model, assemble(flat, names, keep=["vec_id"]))
-    share = vector_to_array("probability")
-    return scored.select(
-        "vec_id", "label", "prediction", F.round(F.array_max(share), 6).alias("probability")
+    scored = score(model, assemble(flat, names))
+    rows = scored.select(
+        vector_to_array("features").alias("x"),
+        F.posexplode(vector_to_array("probability")).alias("class", "p"),
+    )
+    means = rows.groupBy("class").agg(
+        F.avg("p").alias("p"),
+        *(F.avg(F.col("p") * F.col("x")[j]).alias(n) for j, n in enumerate(names)),
+    )
+    entries = [F.struct(F.lit(-1).alias("feature"), F.col("p").alias("mean"))]
+    entries += [F.struct(F.lit(j).alias("feature"), F.col(n).alias("mean")) for j, n in enumerate(names)]
+    # A value that rounds to zero from below is zero.
+    return means.select("class", F.inline(F.array(*entries))).select(
+        "class", "feature", (F.round("mean", 4) + F.lit(0.0)).alias("mean")
     )
 
 
@@ -302,9 +347,8 @@ def scored_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: write, replace, read back, count by prediction."""
     model, flat = _fit_bands(spark, sf_dir)
     path = shared_path(spark, "scored")
-    scored = score(model, assemble(flat, BAND_FEATURES))
-    for _ in range(2):
-        write_scored(scored, path)
+    write_scored(flat.select("label"), path)  # something else, to be replaced
+    write_scored(score(model, assemble(flat, BAND_FEATURES)), path)
     written = read_table(spark, path, format="parquet")
     return written.groupBy("prediction").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -335,7 +379,7 @@ def train_job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = graded(spark, sf_dir).select("grade", *BAND_FEATURES)
     report = train_job(
         spark,
-        Source(_as_csv(columns), "grade", BAND_FEATURES),
+        Source(_as_csv(columns), "grade", BAND_FEATURES, read={"schema": columns.schema}),
         _bands_source(spark, sf_dir),
         model_path=shared_path(spark, "model"),
         scored_path=shared_path(spark, "scored"),
@@ -387,6 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         linear_margins,
         linear_softmax,
         linear_argmax,
+        linear_nonfinite,
         confusion_counts,
         class_counts,
         metrics_all,

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tallygrove.functions import named
 from tallygrove.operators import (
     assemble,
+    check_scorer,
     confusion,
     fit,
-    linear_parts,
     linear_scores,
     load,
     metrics,
@@ -24,15 +24,12 @@ from tallygrove.operators import (
     prepare_table,
     save,
     score,
-    scores_natively,
+    scorer_weights,
 )
 from tallygrove.sources import (
     held,
     preview,
     read_table,
-    spread,
-    stage,
-    worth_spreading,
     write_scored,
 )
 
@@ -101,22 +98,25 @@ def evaluate(
 ) -> DataFrame:
     """All metrics of a scored table in one pass over it.
 
-    The pass runs now: its class-by-class counts are written to the shared
-    folder, so that reading the metrics again never repeats it.
+    The pass runs now. Its result, a row for each name whatever the table, is handed
+    back as it is, so that reading the metrics again repeats nothing.
     """
-    return metrics(stage(confusion(scored), "confusion"), names, dataset=dataset)
+    found = metrics(confusion(scored), names, dataset=dataset)
+    return scored.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
-def _scored(model: PipelineModel, flat: DataFrame, source: Source, arrays: bool) -> DataFrame:
+def _scored(
+    model: PipelineModel, flat: DataFrame, source: Source, arrays: bool, scorer: str
+) -> DataFrame:
     """``label, features, rawPrediction, probability, prediction`` and keys."""
-    if not (arrays and scores_natively(model)):
+    if scorer == "model":
         scored = score(model, assemble(flat, source.features, keep=source.keep))
         if not arrays:
             return scored
         return scored.withColumns(
             {c: vector_to_array(c) for c in ("features", "rawPrediction", "probability")}
         )
-    rows = linear_scores(flat, *linear_parts(model), source.features)
+    rows = linear_scores(flat, *scorer_weights(model), source.features)
     inputs = F.array(*(named(f).cast("double") for f in source.features)).alias("features")
     return rows.select(
         "label", inputs, *source.keep, "rawPrediction", "probability", "prediction"
@@ -130,13 +130,17 @@ def _score_and_write(
     path: str,
     dataset: str,
     arrays: bool,
+    scorer: str,
 ) -> PredictReport:
     """Score once, straight into the sink; report from what was written.
 
     Metrics and preview then read back two or three columns instead of
     scoring the table again or holding it in memory.
     """
-    result = _scored(model, prepared(spark, source), source, arrays)
+    check_scorer(scorer)
+    if scorer == "expressions" and not arrays:
+        raise ValueError("expressions make arrays, not vectors: pass arrays=True")
+    result = _scored(model, prepared(spark, source), source, arrays, scorer)
     write_scored(result, path)
     written = spark.read.schema(result.schema).parquet(path)
     return PredictReport(evaluate(written, dataset=dataset), preview(written), written)
@@ -151,39 +155,45 @@ def train_job(
     scored_path: str,
     reuse: str | None = None,
     partitions: int | None = None,
+    spread: int | None = None,
     arrays: bool = False,
+    scorer: str = "model",
     **settings: Any,
 ) -> TrainReport:
     """Fit on one table, report on it, score and report on another.
 
     Training reads its table three times (twice in the fit, once for its own
-    metrics). ``reuse`` says what to keep in between (see ``held``). Unset, a
-    file that is text, or whose many rows come in fewer splits than there are
-    cores, is staged as Parquet once, spread over the cores in the latter case;
-    anything else is read again.
+    metrics). ``reuse`` says what to keep in between (see ``held``). Unset, text
+    and spread rows are staged as Parquet once; anything else is read again.
+    ``spread`` deals the rows to that many partitions first: for a file that comes
+    in fewer splits than there are cores, such as compressed text.
     ``partitions`` and ``settings`` go to ``fit``. The model is saved as soon
-    as it exists. Metrics have columns ``dataset, metric, value``. The model's
-    own lazy ``summary`` reads the training rows again, so it does not outlast
-    a staged copy; the metrics here are the same numbers.
+    as it exists. Metrics have columns ``dataset, metric, value``. The model
+    comes back as it was saved, without a ``summary``: that one would read the
+    training rows again, of which a staged copy is gone by then; the metrics here
+    are the same numbers.
 
     With ``arrays`` the vector columns of the scored rows are written as plain
-    arrays, which SQL can read and which small models compute several times
-    faster.
+    arrays, which SQL can read. ``scorer`` (see ``SCORERS``) says who scores, for
+    the training metrics and, with ``arrays``, for the scored rows.
     """
     rows = prepared(spark, training)
     if reuse is None:
-        reuse = "stage" if training.is_text else "rescan"
-        if training.is_scan and worth_spreading(rows):
-            reuse, rows = "stage", spread(rows)
+        reuse = "stage" if training.is_text or spread else "rescan"
+    if spread:
+        rows = rows.repartition(spread)
     with held(rows, reuse) as flat:
         model = fit(assemble(flat, training.features), partitions=partitions, **settings)
         save(model, model_path)
         trained = evaluate(
-            predictions(model, flat, training.features),
+            predictions(model, flat, training.features, scorer=scorer),
             tuple(TRAINING_METRICS),
             dataset="training",
         )
-    report = _score_and_write(spark, model, validation, scored_path, "validation", arrays)
+    model = load(model_path)
+    report = _score_and_write(
+        spark, model, validation, scored_path, "validation", arrays, scorer if arrays else "model"
+    )
     return TrainReport(
         model, trained.unionByName(report.metrics), report.preview, report.scored
     )
@@ -196,9 +206,10 @@ def predict_job(
     model_path: str,
     scored_path: str,
     arrays: bool = False,
+    scorer: str = "model",
 ) -> PredictReport:
     """Load a model, score a table, save the rows and report on them.
 
-    ``arrays`` is that of ``train_job``.
+    ``arrays`` and ``scorer`` are those of ``train_job``.
     """
-    return _score_and_write(spark, load(model_path), table, scored_path, "test", arrays)
+    return _score_and_write(spark, load(model_path), table, scored_path, "test", arrays, scorer)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from tallygrove.plans.contract import (
-    BAND_FEATURES,
     DECLARED_INTERCEPTS,
     DECLARED_WEIGHTS,
     FEATURES,
+    EMBEDDING_SIZE,
     LABEL,
+    NONFINITE_INTERCEPTS,
+    NONFINITE_WEIGHTS,
 )
 from tallygrove.plans.jobs import EVALUATION_METRICS, TRAINING_METRICS
 
@@ -35,19 +37,50 @@ _SCORED = (
     + " ".join(f"WHEN m{k} = {_TOP} THEN {k}" for k in _CLASSES)
     + " END AS DOUBLE) AS prediction FROM margins)"
 )
-_BANDS = f"""bands AS (
-  SELECT CASE WHEN l_quantity <= 10 THEN 3 WHEN l_quantity BETWEEN 20 AND 30 THEN 5
-              WHEN l_quantity >= 40 THEN 8 END AS label,
-         {", ".join(BAND_FEATURES)}, l_orderkey, l_partkey, l_suppkey
-  FROM lineitem
-  WHERE l_quantity <= 10 OR l_quantity BETWEEN 20 AND 30 OR l_quantity >= 40)"""
+_BANDS = """graded AS (
+  SELECT CASE WHEN l_discount >= 0.05
+              THEN CASE WHEN l_tax <= 0.01 THEN 3 WHEN l_tax <= 0.06 THEN 5 ELSE 8 END
+              ELSE CASE WHEN l_tax <= 0.05 THEN 3 WHEN l_tax <= 0.07 THEN 5 ELSE 8 END
+         END AS label, CAST(l_discount >= 0.05 AS INTEGER) AS high,
+         l_orderkey, l_partkey, l_suppkey
+  FROM lineitem),
+frequent AS (
+  SELECT high, CAST(arg_max(label, n) AS DOUBLE) AS prediction
+  FROM (SELECT high, label, count(*) AS n FROM graded GROUP BY ALL) GROUP BY high),
+bands AS (SELECT * FROM graded JOIN frequent USING (high))"""
 _DIRTY = """dirty AS (
   SELECT l_linenumber, l_suppkey, l_quantity, l_extendedprice,
          CASE WHEN l_discount <> 0 THEN l_discount END AS l_discount,
          CASE WHEN l_tax = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END AS l_tax
   FROM lineitem)"""
 
-_BAND_SCORES = "SELECT label, CAST(label AS DOUBLE) AS prediction FROM bands"
+_BAND_SCORES = "SELECT label, prediction FROM bands"
+
+
+def _nonfinite() -> str:
+    """Margins with infinite measures; a NaN is told by isnan, as SQL ranks it highest."""
+    measures = ["l_quantity", "l_extendedprice"]
+    for name, top in (("l_discount", 0.09), ("l_tax", 0.07)):
+        measures.append(
+            f"CASE WHEN {name} = 0 THEN CAST('Infinity' AS DOUBLE) "
+            f"WHEN {name} > {top} THEN CAST('-Infinity' AS DOUBLE) ELSE {name} END"
+        )
+    margins = ", ".join(
+        " + ".join(f"CAST({w!r} AS DOUBLE) * x{i}" for i, w in enumerate(row)) + f" + CAST({b!r} AS DOUBLE) AS m{k}"
+        for k, (row, b) in enumerate(zip(NONFINITE_WEIGHTS, NONFINITE_INTERCEPTS, strict=True))
+    )
+    columns = ", ".join(f"{m} AS x{i}" for i, m in enumerate(measures))
+    number = [f"CASE WHEN isnan(m{k}) THEN CAST('-Infinity' AS DOUBLE) ELSE m{k} END" for k in range(4)]
+    top = f"greatest({', '.join(number)})"
+    chain = " ".join(f"WHEN NOT isnan(m{k}) AND m{k} = {top} THEN {k}" for k in range(4))
+    return f"""
+        WITH measures AS (SELECT l_linenumber, {columns} FROM lineitem),
+        margins AS (SELECT l_linenumber, {margins} FROM measures)
+        SELECT CAST(l_linenumber AS DOUBLE) AS label,
+               CAST(CASE WHEN isnan(m0) THEN 0 {chain} ELSE 0 END AS DOUBLE) AS prediction,
+               count(*) AS count
+        FROM margins GROUP BY ALL"""
+
 
 _FORMULAS = {
     "accuracy": "sum(hits) / max(total)",
@@ -147,10 +180,22 @@ ORACLES: dict[str, str] = {
     "metrics_labels": _metrics("SELECT quality AS label, toxic AS prediction FROM labels"),
     "fit_bands_confusion": f"""
         WITH {_BANDS} SELECT CAST(label AS DOUBLE) AS label,
-               CAST(label AS DOUBLE) AS prediction, count(*) AS count
-        FROM bands GROUP BY label""",
+               prediction, count(*) AS count
+        FROM bands GROUP BY ALL""",
     "fit_bands_summary": f"WITH {_BANDS} " + _metrics(_BAND_SCORES, tuple(TRAINING_METRICS)),
     "fit_frequencies": _FREQUENCIES,
+    "linear_nonfinite": _nonfinite(),
+    "fit_embeddings_scored": f"""
+        WITH classes AS (SELECT unnest(range(0, (SELECT max(label) + 1 FROM embeddings))) AS class),
+        entries AS (
+          SELECT label, unnest(range(-1, {EMBEDDING_SIZE})) AS feature, embedding FROM embeddings),
+        cells AS (
+          SELECT label, feature,
+                 CASE WHEN feature < 0 THEN 1.0 ELSE CAST(embedding[feature + 1] AS DOUBLE) END AS x
+          FROM entries)
+        SELECT CAST(class AS INTEGER) AS class, CAST(feature AS INTEGER) AS feature,
+               round(sum(CASE WHEN label = class THEN x ELSE 0 END) / count(*), 4) + 0.0::DOUBLE AS mean
+        FROM cells, classes GROUP BY ALL""",
     "fit_binary_frequencies": """
         WITH shares AS (
           SELECT toxic, count(*) AS rows, CAST(sum(quality) AS DOUBLE) / count(*) AS p
@@ -158,17 +203,17 @@ ORACLES: dict[str, str] = {
         SELECT toxic, CAST(p > 0.5 AS INTEGER)::DOUBLE AS prediction, rows, round(p, 4) AS p1
         FROM shares""",
     "model_roundtrip_score": f"""
-        WITH {_BANDS} SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS rows,
+        WITH {_BANDS} SELECT label, prediction, count(*) AS rows,
                (SELECT max(label) + 1 FROM bands) AS classes
-        FROM bands GROUP BY label""",
+        FROM bands GROUP BY label, prediction""",
     "scored_parquet_roundtrip": f"""
-        WITH {_BANDS} SELECT CAST(label AS DOUBLE) AS prediction, count(*) AS rows
-        FROM bands GROUP BY label""",
+        WITH {_BANDS} SELECT prediction, count(*) AS rows
+        FROM bands GROUP BY prediction""",
     "preview_scored": f"""
-        WITH {_BANDS} SELECT l_orderkey, l_partkey, l_suppkey, {", ".join(BAND_FEATURES)},
-               label, CAST(label AS DOUBLE) AS prediction
+        WITH {_BANDS} SELECT l_orderkey, l_partkey, l_suppkey, CAST(high AS DOUBLE) AS high,
+               label, prediction
         FROM bands
-        ORDER BY l_orderkey, l_partkey, l_suppkey, label, {", ".join(BAND_FEATURES)} LIMIT 5""",
+        ORDER BY l_orderkey, l_partkey, l_suppkey, label, high LIMIT 5""",
     "train_job_metrics": f"WITH {_BANDS} "
     + _metrics(_BAND_SCORES, tuple(TRAINING_METRICS), "training")
     + " UNION ALL "
@@ -176,8 +221,7 @@ ORACLES: dict[str, str] = {
     "predict_job_metrics": f"WITH {_BANDS} "
     + _metrics(_BAND_SCORES, tuple(EVALUATION_METRICS), "test"),
     "predict_job_rows": f"""
-        WITH {_BANDS} SELECT label, {", ".join(BAND_FEATURES)},
-               CAST(label AS DOUBLE) AS prediction FROM bands""",
+        WITH {_BANDS} SELECT label, CAST(high AS DOUBLE) AS high, prediction FROM bands""",
     "evaluate_staged": f"WITH {_SCORED} "
     + _metrics("SELECT label, prediction FROM scored", tuple(EVALUATION_METRICS)),
 }

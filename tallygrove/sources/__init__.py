@@ -4,9 +4,7 @@ from tallygrove.sources.workspace import (
     held,
     shared_dir,
     shared_path,
-    spread,
     stage,
-    worth_spreading,
 )
 
 __all__ = [
@@ -16,8 +14,6 @@ __all__ = [
     "report_lines",
     "shared_dir",
     "shared_path",
-    "spread",
     "stage",
-    "worth_spreading",
     "write_scored",
 ]

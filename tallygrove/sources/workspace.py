@@ -52,36 +52,6 @@ def _write_and_scan(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# Rows per core from which dealing them out pays: a fit with 30 steps on 8 cores
-# took 7.1 s in place and 5.3 s spread (shuffle included) for 384,000 rows, but
-# 2.1 s and 5.3 s for 38,000, where starting more tasks per step costs more.
-SPREAD_ROWS_PER_CORE = 20_000
-
-
-def _cores(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
-
-
-def worth_spreading(df: DataFrame) -> bool:
-    """Whether a scan has fewer splits than cores, and rows enough for them all.
-
-    So does a table that does not split (compressed text, huge row groups).
-    Counts the rows only if the splits are few. Ask only of plans without a
-    shuffle: counting the splits of those runs nothing.
-    """
-    few = df.rdd.getNumPartitions() < _cores(df)
-    return few and df.count() >= SPREAD_ROWS_PER_CORE * _cores(df)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` with its rows dealt evenly to all cores.
-
-    A shuffle, for when ``worth_spreading`` says so and the rows are iterated
-    over: the largest split would otherwise set the pace of every step.
-    """
-    return df.repartition(_cores(df))
-
-
 @contextmanager
 def held(df: DataFrame, reuse: str) -> Iterator[DataFrame]:
     """``df`` made ready for several passes, for the length of a ``with`` block.

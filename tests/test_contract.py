@@ -8,10 +8,9 @@ from conftest import SF, plan_of
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tallygrove.plans import contract
+from tallygrove.plans.oracles import ORACLES
 
 SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
-# Learned weights have no SQL equivalent.
-ROWS_ONLY = {"fit_embeddings_scored"}
 
 
 @pytest.fixture(scope="module")
@@ -23,11 +22,11 @@ def database():
 
 
 def test_every_query_has_sql_unless_it_cannot():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(contract.QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, database, name):
     got = queries()[name](spark, SF)
     wanted = database.execute(oracle_sql()[name])
@@ -38,12 +37,16 @@ def test_query_equals_its_sql(spark, database, name):
     assert ours == sorted(wanted.fetchall(), key=repr)
 
 
-def test_wide_fit_scores_every_row(spark):
-    scored = queries()["fit_embeddings_scored"](spark, SF).collect()
-    assert len({r.vec_id for r in scored}) == 500
-    hits = sum(r.label == r.prediction for r in scored)
-    # A tenth would be chance for ten classes.
-    assert hits > 100 and all(0.1 <= r.probability <= 1 for r in scored)
+def test_bands_have_metrics_that_can_tell_right_from_wrong(spark):
+    found = {r.metric: r.value for r in queries()["fit_bands_summary"](spark, SF).collect()}
+    assert all(0 < v < 1 for v in found.values())
+    counts = queries()["fit_bands_confusion"](spark, SF).toPandas()
+    assert counts["count"].sum() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+
+
+def test_nonfinite_margins_reach_more_than_one_class(spark):
+    counts = queries()["linear_nonfinite"](spark, SF).toPandas()
+    assert counts["prediction"].nunique() > 2
 
 
 def test_entry_reports_both_data_sets(spark):
@@ -58,7 +61,7 @@ def test_scorers_neither_shuffle_nor_leave_the_jvm(spark, name):
     assert "PushedFilters: [IsNotNull(l_linenumber)" in plan
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_no_query_sorts_joins_or_runs_python(spark, name):
     plan = plan_of(queries()[name](spark, SF))
     for node in ("Join", "CartesianProduct", "SortMerge", "ArrowEvalPython", "MapInPandas"):

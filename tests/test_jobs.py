@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.cli import FEATURES, LABEL, main
 from tallygrove.operators import assemble, classifier, fit, load, score
+from tallygrove.sources import shared_dir
 from tallygrove.plans import EVALUATION_METRICS, Source, predict_job, prepared, train_job
 
 # File order, lowest, highest, decimals (None: whole numbers).
@@ -160,6 +161,31 @@ def test_j2_reuse_does_not_change_the_result(spark, files, trained, tmp_path, re
         )
 
 
+def test_j2_the_model_comes_back_as_saved_without_a_summary(trained):
+    fitted = classifier(trained[0].model)
+    assert not fitted.hasSummary
+    with pytest.raises(Exception, match="[Nn]o training summary"):
+        _ = fitted.summary.accuracy
+
+
+def test_jobs_leave_no_tables_behind_and_metrics_are_local_rows(spark, files, tmp_path):
+    import os
+
+    folder = shared_dir(spark)
+    os.makedirs(folder, exist_ok=True)
+
+    before = set(os.listdir(folder))
+    where = {"model_path": str(tmp_path / "m"), "scored_path": str(tmp_path / "s")}
+    source = Source(files["train"], LABEL, FEATURES)
+    report = train_job(spark, source, Source(files["check"], LABEL, FEATURES), spread=3, **where)
+    predict_job(spark, Source(files["check"], LABEL, FEATURES), **where)
+    new = set(os.listdir(folder)) - before
+    for name in new:
+        assert spark.read.parquet(os.path.join(folder, name)).count() == 0, name
+    plan = plan_of(report.metrics)
+    assert "Exchange" not in plan and "FileScan" not in plan and report.metrics.count() == 10
+
+
 def test_j2_failure_to_write_raises(spark, files, tmp_path):
     (tmp_path / "file").write_text("x")
     with pytest.raises(Exception):
@@ -186,22 +212,18 @@ def test_j3_loaded_model_repeats_the_validation_report(spark, files, trained, tm
     assert again.scored.count() == files["n_check"]
 
 
-@pytest.mark.parametrize("native", [True, False])
-def test_j3_arrays_hold_what_the_vectors_hold(spark, files, trained, tmp_path, monkeypatch, native):
+@pytest.mark.parametrize("scorer", ["model", "expressions"])
+def test_j3_arrays_hold_what_the_vectors_hold(spark, files, trained, tmp_path, scorer):
     from pyspark.ml.functions import vector_to_array
 
-    from tallygrove.operators import score as scoring
-    import tallygrove.plans.jobs as jobs
-
     report, out = trained
-    if not native:
-        monkeypatch.setattr(jobs, "scores_natively", lambda model: False)
     again = predict_job(
         spark,
         Source(files["check"], LABEL, FEATURES),
         model_path=str(out / "model"),
         scored_path=str(tmp_path / "scored"),
         arrays=True,
+        scorer=scorer,
     )
     assert dict(again.scored.dtypes)["probability"] == "array<double>"
     theirs = report.scored.select(

@@ -17,7 +17,6 @@ from tallygrove.operators import (
     predictions,
     score,
 )
-from tallygrove.operators.score import NATIVE_WEIGHTS, scores_natively
 
 
 def _random_table(spark, features, classes, n=400, seed=7):
@@ -120,20 +119,49 @@ def test_each_margin_is_computed_once(spark, lineitem):
     assert physical.count("3.25 * ") <= 2  # the node's input line may repeat its output
 
 
-def test_wide_models_are_scored_by_the_model(spark):
+@pytest.mark.parametrize("scorer", ["model", "expressions"])
+def test_either_scorer_answers_alike(spark, scorer):
     df, names = _random_table(spark, 30, 6, n=200)
     model = fit(assemble(df, names), maxIter=3)
-    assert 30 * 6 > NATIVE_WEIGHTS and not scores_natively(model)
     theirs = score(model, assemble(df, names)).groupBy("label", "prediction").count()
-    ours = predictions(model, df, names).groupBy("label", "prediction").count()
+    ours = predictions(model, df, names, scorer=scorer).groupBy("label", "prediction").count()
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
 
 
-def test_a_threshold_of_the_model_is_honoured(spark):
+def test_a_threshold_of_the_model_is_honoured_or_refused(spark):
     df, names = _random_table(spark, 2, 2)
     model = fit(assemble(df, names), threshold=0.9)
-    assert not scores_natively(model)
     assert classifier(model).getThreshold() == 0.9
     theirs = score(model, assemble(df, names)).groupBy("prediction").count()
     ours = predictions(model, df, names).groupBy("prediction").count()
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+    with pytest.raises(ValueError, match="threshold"):
+        predictions(model, df, names, scorer="expressions")
+    with pytest.raises(ValueError, match="scorer"):
+        predictions(model, df, names, scorer="fast")
+
+
+@pytest.mark.parametrize("classes", [2, 5])
+def test_infinite_features_score_as_the_model_scores_them(spark, classes):
+    df, names = _random_table(spark, 3, classes)
+    model = fit(assemble(df, names), maxIter=5)
+    inf, big = math.inf, 1e308
+    values = [0.5, -0.5, inf, -inf, big, -big]
+    odd = spark.createDataFrame(
+        [(0, a, b, c) for a in values for b in values for c in values], df.schema
+    )
+    model_rows = score(model, assemble(odd, names, keep=names))
+    theirs = model_rows.select(
+        *names, *(vector_to_array(c).alias(c) for c in ("rawPrediction", "probability")), "prediction"
+    ).collect()
+    ours = linear_scores(odd, *linear_parts(model), names).drop("label").collect()
+
+    def shown(found):
+        return sorted(
+            (repr([r[n] for n in names]), repr([round(v, 9) if abs(v) < 1e300 else v for v in r.rawPrediction]),
+             repr([round(v, 9) for v in r.probability]), r.prediction)
+            for r in found
+        )
+
+    assert shown(ours) == shown(theirs)
+    assert any(math.isnan(v) for r in ours for v in r.rawPrediction)

@@ -68,8 +68,15 @@ def test_m2_repeating_and_repartitioning_keep_the_predictions(table, model):
         assert rows(confusion(predictions(other, table, FEATURES))) == wanted
 
 
-def test_m2_merging_splits_does_not_shuffle(spark):
-    assert spark.range(0, 100, 1, 20).coalesce(3).rdd.getNumPartitions() == 3
+def test_m2_partitions_are_those_the_fit_runs_with(spark, table, monkeypatch):
+    from pyspark.ml import Pipeline
+
+    seen = []
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()))
+    many = assemble(table.repartition(9), FEATURES)
+    fit(many)
+    fit(many, partitions=3)
+    assert seen == [9, 3]
 
 
 @pytest.mark.parametrize("label", ["CAST(-1 AS INT)", "CAST(0.5 AS DOUBLE)"])

@@ -13,12 +13,9 @@ from tallygrove.sources import (
     report_lines,
     shared_dir,
     shared_path,
-    spread,
     stage,
-    worth_spreading,
     write_scored,
 )
-from tallygrove.sources.workspace import SPREAD_ROWS_PER_CORE
 
 
 def _file(tmp_path, text):
@@ -116,8 +113,11 @@ def test_k4_report_lines_follow_the_order_of_names(spark):
 
 
 def test_shared_folder_is_the_sessions(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
-    assert shared_path(spark, "x") != shared_path(spark, "x")
+    session = _Session(spark_master="local[2]", spark_checkpoint_dir="file:///shared/dir/")
+    assert shared_dir(session) == "file:///shared/dir"
+    assert shared_path(session, "x").startswith("file:///shared/dir/x-")
+    assert shared_path(session, "x") != shared_path(session, "x")
+    assert shared_path(spark, "x").startswith(shared_dir(spark))
 
 
 class _Session:
@@ -170,14 +170,3 @@ def test_c1_the_staged_copy_is_emptied_even_after_a_failure(spark):
 def test_c1_unknown_way_of_reuse(spark):
     with pytest.raises(ValueError), held(spark.range(1), "forever"):
         pass
-
-
-def test_rows_are_spread_if_splits_are_few_and_rows_many(spark):
-    cores = spark.sparkContext.defaultParallelism
-    enough = SPREAD_ROWS_PER_CORE * cores
-    few = spark.range(0, enough, 1, 1)
-    assert worth_spreading(few)
-    assert spread(few).rdd.getNumPartitions() == cores
-    assert rows(spread(few.limit(99))) == rows(few.limit(99))
-    assert not worth_spreading(spark.range(0, enough - 1, 1, 1))
-    assert not worth_spreading(spark.range(0, enough, 1, cores))
