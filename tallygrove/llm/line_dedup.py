@@ -323,7 +323,9 @@ def _texts(docs: DataFrame, needed: DataFrame, min_chars: int) -> DataFrame:
     near = lines.join(found, F.expr("bitmap_bucket_number(at)") == F.col("bucket")).where(
         F.shiftright(byte, 0).bitwiseAND(F.expr("cast(shiftleft(1, cast(bitmap_bit_position(at) % 8 as int)) as int)")) != 0
     )
-    return near.select("lid", "text").join(needed, "lid", "left_semi").dropDuplicates(["lid", "text"])
+    # An inner join, as ``needed`` has each lid once: a semi-join would be pushed below
+    # the map, and all lines shuffled.
+    return near.select("lid", "text").join(needed, "lid").select("lid", "text").dropDuplicates(["lid", "text"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, tau: int) -> DataFrame:
