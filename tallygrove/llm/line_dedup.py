@@ -43,6 +43,8 @@ TAU = 2
 MIN_CHARS = 20
 #: Larger groups are compared in blocks of ``BLOCK`` lines.
 GROUP, BLOCK = 24, 1024
+#: Heavy keys are looked for in one of so many texts, and have so many rows there.
+SAMPLED, HEAVY = 32, 128
 #: Width of the word of the banded computation.
 WORD = 64
 #: Bits of the map that keeps lines without candidates out of a shuffle: 8 MB.
@@ -226,49 +228,67 @@ def _key_batch(found: list[int], ids: list[int]) -> pa.RecordBatch:
     )
 
 
-def meetings(keyed: DataFrame) -> DataFrame:
+def heavy_keys(docs: DataFrame, min_chars: int, tau: int) -> list[int]:
+    """Keys that may hold more than a task's even share, as many as tasks at most.
+
+    They are estimated from a part of the texts and steer only how rows are dealt.
+    """
+    part = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
+    counts = keys(part, min_chars, tau).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "key").limit(partitions(docs))
+    return [r["key"] for r in top.collect()]
+
+
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def meetings(keyed: DataFrame, heavy: list[int]) -> DataFrame:
     """What meets at a key: pairs (a, b) of small groups, members (key, a) of others.
 
-    Rows are dealt by ranges of (key, lid), so a frequent key fills several tasks.
-    A task cannot know whether its first and last key go on elsewhere: those are
-    treated like large groups. A key without any own segment links nothing.
+    Rows are dealt by key, those of ``heavy`` keys by key and lid, so that these fill
+    many tasks; no task sees all of such a key, so its rows become members. Any other
+    key is in one task, which hands it on in parts if it is long. A key without any
+    own segment links nothing.
     """
+    apart = np.array(heavy, np.int64)
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_keys, kept_ids, first = np.empty(0, np.int64), np.empty(0, np.int64), None
+        kept_keys, kept_ids, edges = np.empty(0, np.int64), np.empty(0, np.int64), apart
         for batch in batches:
             k = np.concatenate([kept_keys, batch.column(0).to_numpy()])
             v = np.concatenate([kept_ids, batch.column(1).to_numpy()])
             if not len(k):
                 continue
-            first = k[0] if first is None else first
             end = int(np.searchsorted(k, k[-1]))  # the last key may go on
             if len(k) - end > 100_000:  # it is large: no need to hold it
-                yield from _met(k, v, {first, k[-1]})
-                kept_keys, kept_ids = k[:0], v[:0]
-                first = k[-1]
-                continue
-            yield from _met(k[:end], v[:end], {first})
+                edges = np.append(edges, k[-1])
+                end = len(k)
+            yield from _met(k[:end], v[:end], edges)
+            if len(edges) > len(apart):  # of the long keys only the last may go on
+                edges = np.append(apart, edges[-1])
             kept_keys, kept_ids = k[end:], v[end:]
-        if len(kept_keys):
-            yield from _met(kept_keys, kept_ids, set(kept_keys[-1:]))
+        yield from _met(kept_keys, kept_ids, edges)
 
-    count = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions(keyed)
+    salt = F.lit(0).cast("long")
+    if heavy:
+        salt = F.when(F.col("key").isin(heavy), F.pmod(F.xxhash64("lid"), F.lit(count))).otherwise(salt)
     return (
-        keyed.repartitionByRange(count, "key", "lid")
+        keyed.repartition(count, "key", salt)
         .sortWithinPartitions("key", "lid")
         .mapInArrow(group, "key long, a long, b long")
     )
 
 
-def _met(k: np.ndarray, v: np.ndarray, edges: set) -> Iterator[pa.RecordBatch]:
+def _met(k: np.ndarray, v: np.ndarray, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
     if not len(k):
         return
     fresh = np.append(True, (k[1:] != k[:-1]) | (v[1:] != v[:-1]))
     k, v = k[fresh], v[fresh]
     start = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
     size = np.diff(np.append(start, len(k)))
-    edge = np.isin(k[start], np.array(list(edges), np.int64))
+    edge = np.isin(k[start], edges)
     own = np.add.reduceat(v & 1, start)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     large = (size > GROUP) & (own > 0) | edge
@@ -400,7 +420,7 @@ def _bag(text: str) -> np.ndarray:
 
 def line_links(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """Pairs (a, b) of ids of different lines within ``tau`` edits, each once."""
-    met = staged(meetings(keys(docs, min_chars, tau)), "meetings")
+    met = staged(meetings(keys(docs, min_chars, tau), heavy_keys(docs, min_chars, tau)), "meetings")
     pairs = met.where("b is not null").select("a", "b").distinct()
     members = met.where("b is null").select("key", "a").distinct()
     useful = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

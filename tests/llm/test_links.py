@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tallygrove.llm import line_dedup
 from tallygrove.llm.common import components, multiset_jaccard, shingles
 from tallygrove.llm.embedding_dedup import near_vectors
 from tallygrove.llm.line_dedup import BLOCK, cuts, dedup_lines, line_links, normal, probes, within
@@ -83,6 +84,17 @@ def test_line_links_and_removals_equal_brute_force(spark):
         assert out[doc].text == "\n".join(keep)
 
 
+def test_heavy_keys_change_no_link(spark, monkeypatch):
+    rows = [(i, line, None) for i, line in enumerate(_lines(9, 200))]
+    docs = spark.createDataFrame(rows, DOCS)
+    plain = {tuple(r) for r in line_links(docs).collect()}
+    assert plain and not line_dedup.heavy_keys(docs, 20, 2)
+    monkeypatch.setattr(line_dedup, "SAMPLED", 1)
+    monkeypatch.setattr(line_dedup, "HEAVY", 2)
+    assert len(line_dedup.heavy_keys(docs, 20, 2)) > 1
+    assert {tuple(r) for r in line_links(docs).collect()} == plain
+
+
 def test_lines_of_a_large_group_are_compared_in_blocks(spark):
     stem = "the same long beginning of all these lines "
     words = {"".join(w) for w in itertools.product("abcdef", repeat=4)}
