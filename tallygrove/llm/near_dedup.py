@@ -16,8 +16,11 @@ Documents that agree in all coordinates of a band are candidates:
 * in each bucket all others are compared with one of its members (a star), by exact
   similarity, so work is linear in the bucket;
 * linked classes are joined to components; then, in buckets that still hold several
-  components, members of different components are compared as well. A pair inside
-  one component can add nothing, so no link that matters is passed over.
+  components, members of different components are compared as well: those outside a
+  bucket's most frequent component, its strangers, with all others. A pair inside one
+  component can add nothing, so no link that matters is passed over;
+* small buckets hand on the pairs to compare. Larger ones are dealt out in blocks of
+  strangers against blocks of members, and only links leave a task.
 
 Two documents of similarity 0.8 share none of ``BANDS`` buckets with probability
 below 3e-5; no bucket is capped.
@@ -42,6 +45,8 @@ from tallygrove.llm.common import components, mix, multiset_jaccard, read, shing
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
+#: Larger buckets are compared in blocks of ``BLOCK`` members.
+GROUP, BLOCK = 24, 256
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -190,6 +195,101 @@ def _similar(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(verify, "a long, b long").distinct()
 
 
+def marks(text: str | None) -> np.ndarray:
+    """Sorted numbers, one for each shingle and repeat of it: the multiset as a set."""
+    s = np.sort(shingles(text, SHINGLE_WORDS))
+    start = np.flatnonzero(np.append(True, s[1:] != s[:-1])[: len(s)])
+    repeat = np.arange(len(s)) - np.repeat(start, np.diff(np.append(start, len(s))))
+    return np.sort(mix(s + repeat.astype(np.uint64) * _GOLDEN))
+
+
+def _in_blocks(placed: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) of strangers with members of other components, bucket by bucket.
+
+    ``placed``: key, doc_id, component, main (the bucket's most frequent component).
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [marks(t.as_py()).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "marks"]
+            )
+
+    needed = placed.select("doc_id").distinct()
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(needed, "doc_id", "left_semi")
+    marked = texts.mapInArrow(mark, "doc_id long, marks array<long>").where(F.size("marks") > 0)
+    marked = staged(marked.distinct(), "marks")
+    stranger = F.col("component") != F.col("main")
+    blocks = placed.groupBy("key").agg(
+        F.ceil(F.sum(stranger.cast("int")) / BLOCK).cast("int").alias("lb"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("rb"),
+    )
+    rows = placed.join(blocks, "key").join(marked, "doc_id")
+    own = F.xxhash64("doc_id", F.lit(7))
+    left = rows.where(stranger).select(
+        "key",
+        F.pmod(own, F.col("lb")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("j"),
+        F.lit(True).alias("own"), "doc_id", "component", "marks",
+    )
+    right = rows.select(
+        "key",
+        F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("i"),
+        F.pmod(own, F.col("rb")).cast("int").alias("j"),
+        F.lit(False).alias("own"), "doc_id", "component", "marks",
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts = None, []
+        for batch in batches:
+            keys = np.stack([batch.column(n).to_numpy() for n in range(3)])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+            for p, q in zip(cuts[:-1], cuts[1:], strict=True):
+                if q == p:
+                    continue
+                key = tuple(keys[:, p])
+                if key != at:
+                    yield from _block(parts, threshold)
+                    at, parts = key, []
+                parts.append(batch.slice(p, q - p))
+        yield from _block(parts, threshold)
+
+    count = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        left.union(right)
+        .repartition(count, "key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+        .mapInArrow(compare, "a long, b long")
+        .distinct()
+    )
+
+
+def _block(parts: list[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    if not parts:
+        return
+    rows = pa.Table.from_batches(parts)
+    own = rows.column("own").to_numpy()
+    ids, component = rows.column("doc_id").to_numpy(), rows.column("component").to_numpy()
+    sets = [row.values.to_numpy().view(np.uint64) for row in rows.column("marks")]
+    right = np.flatnonzero(~own)
+    if not own.any() or not len(right):
+        return
+    flat = np.concatenate([sets[r] for r in right])
+    sizes = np.array([len(sets[r]) for r in right])
+    start = np.append(0, np.cumsum(sizes)[:-1])
+    found: list[tuple[int, int]] = []
+    for x in np.flatnonzero(own):
+        mine = sets[x]
+        place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+        shared = np.add.reduceat((mine[place] == flat).astype(np.int64), start)
+        near = shared / (len(mine) + sizes - shared) >= threshold
+        found += [(int(ids[x]), int(ids[y])) for y in right[near & (component[right] != component[x])]]
+    if found:
+        a, b = np.array(found).T
+        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+
 def near_duplicates(docs: DataFrame, *, threshold: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (its group's smallest doc_id), n_links and kept, per document.
 
@@ -227,21 +327,31 @@ def near_duplicates(docs: DataFrame, *, threshold: float = SIMILARITY) -> DataFr
     placed = shared.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    placed = staged(placed.join(mixed.select("key"), "key"), "placed")
-    left = placed.select("key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    right = placed.select("key", F.col("doc_id").alias("y"), F.col("component").alias("cy"))
+    frequent = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (
+        frequent.groupBy("key")
+        .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1")
+        .select("key", F.col("top.component").alias("main"), "n")
+    )
+    placed = staged(placed.join(mixed, "key"), "placed")
+    few = placed.where(F.col("n") <= GROUP)
+    left = few.where("component <> main").select("key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
+    right = few.select("key", F.col("doc_id").alias("y"), F.col("component").alias("cy"), "main")
     across = (
         left.join(right, "key")
-        .where("cx < cy")
+        .where("cx <> cy and (cy = main or cx < cy)")
         .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
-    more = staged(_similar(staged(across, "across"), docs, threshold), "similar")
+    more = _similar(staged(across, "across"), docs, threshold)
+    more = more.union(_in_blocks(placed.where(F.col("n") > GROUP), docs, threshold))
+    more = staged(more.distinct(), "similar")
     links = links.union(more)
     same = heads.where("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
-    groups = components(links.union(same), "a", "b")
+    # What is joined already goes on from its components.
+    groups = components(groups.select("node", "component").union(more).union(same).toDF("a", "b"), "a", "b")
     degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("n"))
     of_class = heads.join(degree, "head").groupBy("doc_id").agg(F.sum("n").alias("n_links"))
     return (

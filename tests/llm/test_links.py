@@ -9,11 +9,11 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallygrove.llm import line_dedup
+from tallygrove.llm import line_dedup, near_dedup
 from tallygrove.llm.common import components, multiset_jaccard, shingles
 from tallygrove.llm.embedding_dedup import near_vectors
 from tallygrove.llm.line_dedup import BLOCK, cuts, dedup_lines, line_links, normal, probes, within
-from tallygrove.llm.near_dedup import dart_signatures, near_duplicates
+from tallygrove.llm.near_dedup import dart_signatures, marks, near_duplicates
 from tallygrove.llm.neighbours import nearest
 from tallygrove.llm.quotes import OP10_SQL, op10_quotes, reply_order
 from tallygrove.llm.span_dedup import OP3_SQL, dedup_units, op3_span_dedup
@@ -191,6 +191,36 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_marks_keep_the_similarity_of_multisets():
+    a, b = "x y " * 30 + "q r s t u v w", "x y " * 20 + "q r s t u v z"
+    shared = len(np.intersect1d(marks(a), marks(b)))
+    assert shared / (len(marks(a)) + len(marks(b)) - shared) == multiset_jaccard(shingles(a), shingles(b)) > 0
+    assert len(marks(None)) == len(marks("")) == 0 and len(marks("one")) == 1
+
+
+def test_large_buckets_with_strangers_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(300)}" for _ in range(120)]
+    rows = []
+    for i in range(70):
+        changed = list(base)
+        for _ in range(i % 5):
+            changed[rng.randrange(120)] = f"n{rng.randrange(300)}"
+        rows.append((i, " ".join(changed), None))
+    rows += [(3, None, None), (4, "other words under an id that comes twice", None), rows[5]]
+    docs = spark.createDataFrame(rows, DOCS)
+    calls = []
+    blocks = near_dedup._in_blocks
+    monkeypatch.setattr(near_dedup, "_in_blocks", lambda placed, *a: calls.append(placed.count()) or blocks(placed, *a))
+    truth = _near_truth(rows)
+    assert 5 < len(set(truth.values())) < 60
+    for group, block in ((24, 256), (2, 3), (10**9, 1)):
+        monkeypatch.setattr(near_dedup, "GROUP", group)
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        assert {r.doc_id: r.class_id for r in near_duplicates(docs).collect()} == truth
+    assert calls[1] > 0 and calls[2] == 0
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(1000, 1000 + i) for i in range(1, 30)] + [(5, 5)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "x long, y long"), "x", "y").collect()}
