@@ -2,9 +2,8 @@
 
 Unit vectors are assigned to the nearest of ``k`` centres, learned from a bounded
 sample (``SAMPLE`` vectors, chosen by a hash of the id). That cell is a vector's
-home; it also visits every cell whose centre is nearly as near: by less than
-``MARGIN`` standard deviations of what a vector at the threshold's distance can
-differ by. Within a cell, home vectors are compared with all that are present, in
+home; it also visits every cell that a vector at the threshold or nearer can have as
+its home, however the difference lies, so that no link is missed. Within a cell, home vectors are compared with all that are present, in
 blocks, as products of matrices in double precision. Degrees are counted in the
 blocks, and of the links only a spanning part leaves a block, so that a group of
 copies costs no more rows than it has members; components are joined across cells.
@@ -33,7 +32,6 @@ COSINE = 0.9
 SAMPLE, PASSES = 20_000, 8
 #: Members a cell is meant to have, and centres at most.
 CELL, CELLS = 2_000, 2_048
-MARGIN = 3.5
 BLOCK = 2_048
 
 
@@ -77,9 +75,9 @@ def dense_number(df: DataFrame) -> int:
 def _presence(classes: DataFrame, c: np.ndarray, threshold: float) -> DataFrame:
     """cell, home, id, n, vector: a class in its home cell and those it visits."""
     shared = classes.sparkSession.sparkContext.broadcast(c)
-    d = c.shape[1]
-    # A neighbour at the threshold is threshold * u + sine * w, w at random across u.
-    slack = MARGIN * np.sqrt(1 - threshold**2) / np.sqrt(d)
+    # A neighbour at the threshold is threshold * u + sine * w, w any unit vector across u:
+    # of the way between two centres, ``w`` gains at most the part across u.
+    sine = np.sqrt(1 - threshold**2)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre = shared.value
@@ -90,8 +88,8 @@ def _presence(classes: DataFrame, c: np.ndarray, threshold: float) -> DataFrame:
             near = x @ centre.T
             home = near.argmax(axis=1)
             gap = near[np.arange(len(x)), home][:, None] - near
-            apart = np.sqrt(np.maximum(2 - 2 * (centre @ centre.T), 0))[home]
-            row, cell = np.nonzero(threshold * gap <= slack * apart + 1e-12)
+            across = np.sqrt(np.maximum((2 - 2 * (centre @ centre.T))[home] - gap**2, 0))
+            row, cell = np.nonzero(threshold * gap <= sine * across + 1e-7)
             own = home[row] == cell
             taken = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays(

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from tallygrove.llm import line_dedup, near_dedup
 from tallygrove.llm.common import components, multiset_jaccard, shingles
+from tallygrove.llm import embedding_dedup
 from tallygrove.llm.embedding_dedup import near_vectors
 from tallygrove.llm.line_dedup import BLOCK, cuts, dedup_lines, line_links, normal, probes, within
 from tallygrove.llm.near_dedup import dart_signatures, marks, near_duplicates
@@ -265,6 +266,16 @@ def test_embedding_links_equal_brute_force(spark):
     assert near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_embedding_links_across_many_cells_of_flat_vectors(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELL", 40)
+    x = np.zeros((480, 64))
+    x[:, :3] = np.random.default_rng(5).normal(size=(480, 3))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    out = near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    wanted = (x @ x.T >= 0.9).sum(axis=1) - 1
+    assert [r.n_links for r in sorted(out, key=lambda r: r.vec_id)] == wanted.tolist(), (sum(r.n_links for r in out), wanted.sum())
+
+
 def test_neighbours_are_found_and_ranked_exactly(spark):
     rows = _vectors()
     out = nearest(spark.createDataFrame(rows + BAD, VECTORS), "id % 10 = 0").toPandas()
