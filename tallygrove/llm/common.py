@@ -32,6 +32,43 @@ def spread_out(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: Bits of the map that keeps rows without a partner out of a shuffle: 8 MB.
+BITS = 1 << 26
+
+
+def sieved(df: DataFrame, column: str, needed: DataFrame, bits: int = BITS) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be among those of ``needed``.
+
+    A bit map of fixed size is broadcast, so no row moves; a join behind it decides.
+    The more values are needed, the more rows pass, all of them at worst.
+    """
+    at = F.pmod(F.xxhash64(column), F.lit(bits))
+    maps = (
+        needed.select(at.alias("_at"))
+        .groupBy(F.expr("bitmap_bucket_number(_at)").alias("_bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_at))").alias("_bits"))
+    )
+    byte = F.expr("conv(hex(substring(_bits, cast(bitmap_bit_position(_at) div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    bit = F.expr("cast(shiftleft(1, cast(bitmap_bit_position(_at) % 8 as int)) as int)")
+    return (
+        df.withColumn("_at", at)
+        .join(F.broadcast(maps), F.expr("bitmap_bucket_number(_at)") == F.col("_bucket"))
+        .where(byte.bitwiseAND(bit) != 0)
+        .drop("_at", "_bucket", "_bits")
+    )
+
+
+def salted_join(large: DataFrame, small: DataFrame, key: str, by: str, parts: int = 16) -> DataFrame:
+    """``large`` joined with ``small``, which has a row or none for each ``key``.
+
+    Rows of one key are dealt by ``by`` to ``parts`` partitions, to each of which the
+    small side's row goes, so that a hot key fills several tasks.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left = large.withColumn("_salt", F.pmod(F.xxhash64(by, F.lit(11)), F.lit(parts)).cast("int"))
+    return left.join(small.withColumn("_salt", salts), [key, "_salt"]).drop("_salt")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit changes about half of the output bits."""
     x = x.astype(np.uint64, copy=True)

@@ -20,15 +20,18 @@ Documents that agree in all coordinates of a band are candidates:
   bucket's most frequent component, its strangers, with all others. A pair inside one
   component can add nothing, so no link that matters is passed over;
 * small buckets hand on the pairs to compare. Larger ones are dealt out in blocks of
-  strangers against blocks of members, and only links leave a task.
+  strangers against blocks of members, and of the links between components only a
+  spanning part leaves a task; of buckets with the same members one is compared.
 
 Two documents of similarity 0.8 share none of ``BANDS`` buckets with probability
 below 3e-5; no bucket is capped.
 
 Defined cases: null texts and texts without words have no shingles and are alone;
 a text of fewer than five words is one shingle of all its words; rows with the same
-doc_id and different text count as one document that holds links of either; an
-empty table gives an empty result; other columns are not read.
+doc_id count as one document that holds the links of any, and are kept or not
+together; rows with a null doc_id take no part: they link with nothing, have the
+class null and are kept; an empty table gives an empty result; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -40,13 +43,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrove.llm.common import components, mix, multiset_jaccard, read, shingles, staged
+from tallygrove.llm.common import (
+    components,
+    local_roots,
+    mix,
+    multiset_jaccard,
+    read,
+    salted_join,
+    shingles,
+    sieved,
+    staged,
+)
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 #: Larger buckets are compared in blocks of ``BLOCK`` members.
-GROUP, BLOCK = 24, 256
+GROUP, BLOCK = 24, 512
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -170,11 +183,16 @@ def _signed_batch(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of the documents named in ``ids``; others stay out of the shuffle."""
+    known = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    return sieved(known, "doc_id", ids).join(ids, "doc_id")
+
+
 def _similar(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """Those of ``pairs`` (a, b: doc_ids) whose texts are similar enough, exactly."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(needed, "doc_id", "left_semi")
-    texts = staged(texts.dropDuplicates(["doc_id", "text"]), "texts")
+    needed = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
+    texts = staged(_texts(docs, needed).dropDuplicates(["doc_id", "text"]), "texts")
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
@@ -204,9 +222,10 @@ def marks(text: str | None) -> np.ndarray:
 
 
 def _in_blocks(placed: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) of strangers with members of other components, bucket by bucket.
+    """Links (a, b) between components, of strangers with others, bucket by bucket.
 
-    ``placed``: key, doc_id, component, main (the bucket's most frequent component).
+    ``placed``: key, doc_id, component, main (the bucket's most frequent component), n
+    and strangers (how many documents the bucket holds, and outside ``main``).
     """
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,28 +235,27 @@ def _in_blocks(placed: DataFrame, docs: DataFrame, threshold: float) -> DataFram
                 [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "marks"]
             )
 
-    needed = placed.select("doc_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(needed, "doc_id", "left_semi")
-    marked = texts.mapInArrow(mark, "doc_id long, marks array<long>").where(F.size("marks") > 0)
+    needed = staged(placed.select("doc_id").distinct(), "needed")
+    marked = _texts(docs, needed).mapInArrow(mark, "doc_id long, marks array<long>").where(F.size("marks") > 0)
     marked = staged(marked.distinct(), "marks")
-    stranger = F.col("component") != F.col("main")
-    blocks = placed.groupBy("key").agg(
-        F.ceil(F.sum(stranger.cast("int")) / BLOCK).cast("int").alias("lb"),
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("rb"),
+    rows = placed.join(marked, "doc_id").withColumns(
+        {
+            "lb": F.ceil(F.col("strangers") / BLOCK).cast("int"),
+            "rb": F.ceil(F.col("n") / BLOCK).cast("int"),
+        }
     )
-    rows = placed.join(blocks, "key").join(marked, "doc_id")
     own = F.xxhash64("doc_id", F.lit(7))
-    left = rows.where(stranger).select(
+    left = rows.where("component <> main").select(
         "key",
         F.pmod(own, F.col("lb")).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("j"),
-        F.lit(True).alias("own"), "doc_id", "component", "marks",
+        F.lit(True).alias("own"), "component", "marks",
     )
     right = rows.select(
         "key",
         F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("i"),
         F.pmod(own, F.col("rb")).cast("int").alias("j"),
-        F.lit(False).alias("own"), "doc_id", "component", "marks",
+        F.lit(False).alias("own"), "component", "marks",
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,34 +288,44 @@ def _block(parts: list[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordB
         return
     rows = pa.Table.from_batches(parts)
     own = rows.column("own").to_numpy()
-    ids, component = rows.column("doc_id").to_numpy(), rows.column("component").to_numpy()
+    names, component = np.unique(rows.column("component").to_numpy(), return_inverse=True)
     sets = [row.values.to_numpy().view(np.uint64) for row in rows.column("marks")]
     right = np.flatnonzero(~own)
     if not own.any() or not len(right):
         return
-    flat = np.concatenate([sets[r] for r in right])
+    # Which of the right sets hold a mark, all marks one behind the other.
     sizes = np.array([len(sets[r]) for r in right])
-    start = np.append(0, np.cumsum(sizes)[:-1])
-    found: list[tuple[int, int]] = []
+    flat = np.concatenate([sets[r] for r in right])
+    order = np.argsort(flat, kind="stable")
+    holder = np.repeat(np.arange(len(right)), sizes)[order]
+    known, first, times = np.unique(flat[order], return_index=True, return_counts=True)
+    a, b = [], []
     for x in np.flatnonzero(own):
-        mine = sets[x]
-        place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
-        shared = np.add.reduceat((mine[place] == flat).astype(np.int64), start)
-        near = shared / (len(mine) + sizes - shared) >= threshold
-        found += [(int(ids[x]), int(ids[y])) for y in right[near & (component[right] != component[x])]]
-    if found:
-        a, b = np.array(found).T
-        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+        at = np.minimum(np.searchsorted(known, sets[x]), len(known) - 1)
+        at = at[known[at] == sets[x]]
+        if not len(at):
+            continue
+        n = times[at]
+        place = np.repeat(first[at] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+        shared = np.bincount(holder[place], minlength=len(right))
+        near = np.unique(component[right[shared / (len(sets[x]) + sizes - shared) >= threshold]])
+        near = near[near != component[x]]
+        a.append(np.full(len(near), component[x]))
+        b.append(near)
+    if not a:
+        return
+    root = local_roots(len(names), np.concatenate(a), np.concatenate(b))
+    joined = np.flatnonzero(root != np.arange(len(names)))
+    yield pa.RecordBatch.from_arrays([pa.array(names[joined]), pa.array(names[root[joined]])], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, *, threshold: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (its group's smallest doc_id), n_links and kept, per document.
+    """doc_id, class_id (its group's smallest doc_id) and kept, per document.
 
     A group is a connected component of documents linked by a similarity of at
-    least ``threshold``; ``n_links`` counts the different texts that its class was
-    compared with and found similar; the document whose id is class_id is kept.
+    least ``threshold``; the document whose id is class_id is kept.
     """
-    signed = staged(signatures(docs), "signatures")
+    signed = staged(signatures(docs).where("doc_id is not null"), "signatures")
     sets = signed.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("head"))
     heads = signed.where("set_id is not null").select("doc_id", "set_id").join(sets, "set_id").select("doc_id", "head").distinct()
     heads = staged(heads, "heads")
@@ -327,14 +355,23 @@ def near_duplicates(docs: DataFrame, *, threshold: float = SIMILARITY) -> DataFr
     placed = shared.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
-    frequent = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    frequent = placed.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id", F.lit(5))).alias("members")
+    )
     mixed = (
         frequent.groupBy("key")
-        .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+        .agg(
+            F.max(F.struct("n", "component")).alias("top"),
+            F.sum("n").alias("n"),
+            F.bit_xor("members").alias("members"),
+            F.count(F.lit(1)).alias("parts"),
+        )
         .where("parts > 1")
-        .select("key", F.col("top.component").alias("main"), "n")
+        .groupBy("n", "members")  # buckets of the same members: one of them
+        .agg(F.min("key").alias("key"), F.min("top").alias("top"))
+        .select("key", F.col("top.component").alias("main"), "n", (F.col("n") - F.col("top.n")).alias("strangers"))
     )
-    placed = staged(placed.join(mixed, "key"), "placed")
+    placed = staged(salted_join(placed, mixed, "key", "doc_id"), "placed")
     few = placed.where(F.col("n") <= GROUP)
     left = few.where("component <> main").select("key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
     right = few.select("key", F.col("doc_id").alias("y"), F.col("component").alias("cy"), "main")
@@ -348,25 +385,20 @@ def near_duplicates(docs: DataFrame, *, threshold: float = SIMILARITY) -> DataFr
     more = _similar(staged(across, "across"), docs, threshold)
     more = more.union(_in_blocks(placed.where(F.col("n") > GROUP), docs, threshold))
     more = staged(more.distinct(), "similar")
-    links = links.union(more)
     same = heads.where("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
     # What is joined already goes on from its components.
     groups = components(groups.select("node", "component").union(more).union(same).toDF("a", "b"), "a", "b")
-    degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("n"))
-    of_class = heads.join(degree, "head").groupBy("doc_id").agg(F.sum("n").alias("n_links"))
     return (
         docs.select(F.col("doc_id").cast("long"))
         .join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .join(of_class, "doc_id", "left")
         .select(
             "doc_id",
             F.coalesce("component", "doc_id").alias("class_id"),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"),
         )
     )
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, class_id, n_links, kept of every document."""
+    """doc_id, class_id, kept of every document."""
     return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
