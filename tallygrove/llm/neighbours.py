@@ -14,10 +14,10 @@ exactly those can be in its answer. A query with fewer than k found is compared
 all vectors, in blocks.
 
 ``m`` grows with the logarithm of the number of vectors, so that buckets keep their
-size. Defined cases: vectors null, zero, or with null or non-finite components, and
-those of another length than most, take no part; rows with a null id neither; rows
-with the same id and different vectors count each; an empty table gives an empty
-result.
+size. Defined cases: vectors null, zero, or with null or non-finite components take no
+part; rows with a null id neither; a query meets vectors of its own length only, and
+each length is a search of its own; rows with the same id and different vectors count
+each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallygrove.llm.common import read, staged
-from tallygrove.llm.embedding_dedup import dense_number, usable
+from tallygrove.llm.embedding_dedup import dense_number, lengths, usable
 
 TABLES, WIDTH = 3, 1.5
 #: A neighbour's distance that the probes are made for (of unit vectors).
@@ -217,16 +217,22 @@ def nearest(
     column: str = "embedding",
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query, nearest first."""
-    good = usable(vectors, id_column, column)
-    width = good.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    d = width["d"] if width else 1
-    good = staged(good.where(F.size("vector") == d).distinct(), "vectors")
+    good = usable(vectors, id_column, column).withColumn("vector", F.col("vector").cast("array<double>"))
+    good = staged(good.distinct(), "vectors")
+    asked = F.expr(is_query) if isinstance(is_query, str) else is_query
+    answer = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for d in lengths(good):
+        answer = answer.union(_nearest(good.where(F.size("vector") == d), asked, d, k))
+    return answer
+
+
+def _nearest(good: DataFrame, asked: F.Column, d: int, k: int) -> DataFrame:
+    """The answers of the queries among vectors of one length, ``d``."""
     classes = staged(good.groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "classes")
     number = classes.count()
     m = functions_for(number)
     heads = classes.select("vector", F.col("id").alias("class_id"))
     members = staged(good.join(heads, "vector").select("id", "class_id"), "members")
-    asked = F.expr(is_query) if isinstance(is_query, str) else is_query
     queries = good.where(asked)
     found = _best_of_blocks(
         staged(_placed(classes, m, d, False), "placed"), staged(_placed(queries, m, d, True), "probed"), k

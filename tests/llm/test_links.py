@@ -342,3 +342,17 @@ def test_quotes_equal_their_sql_on_the_table(spark):
     columns = [c[0] for c in found.description]
     out = op10_quotes(spark, SF).select(*columns).collect()
     assert sorted(map(tuple, out), key=repr) == sorted(found.fetchall(), key=repr)
+
+
+def test_vectors_of_each_length_are_linked_and_searched(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=8 if i < 60 else 5).tolist(), 0) for i in range(90)]
+    rows += [(100, [1.01 * x for x in rows[3][1]], 0), (101, [2 * x for x in rows[70][1]], 0)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = {r.vec_id: r for r in near_vectors(vectors).collect()}
+    assert out[100].component_id == 3 and out[101].component_id == 70
+    x = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in rows}
+    for i, a in x.items():
+        assert out[i].n_links == sum(j != i and len(a) == len(b) and a @ b >= 0.9 for j, b in x.items())
+    found = nearest(vectors, "id in (100, 101)", k=2).collect()
+    assert {(r.query_id, r.vec_id) for r in found if r["rank"] == 1} == {(100, 3), (101, 70)}
