@@ -13,6 +13,7 @@ from tallygrove.llm.mixing import OP1_SQL, op1_mixing
 from tallygrove.llm.near_dedup import op9_near_dedup
 from tallygrove.llm.neighbours import op4_neighbours
 from tallygrove.llm.packing import op2_packing
+from tallygrove.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from tallygrove.llm.quotes import OP10_SQL, op10_quotes
 from tallygrove.llm.span_dedup import OP3_SQL, op3_span_dedup
 from tallygrove.llm.token_counts import op5_token_counts
@@ -30,10 +31,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_near_dedup": op9_near_dedup,
     "op10_quotes": op10_quotes,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_whitening": op12_whitening,
     "op13_exact_search": op13_exact_search,
 }
 
-#: A token automaton, learned scores, edit distances and signatures have no SQL; tests
+#: A token automaton, learned scores, eigenvectors, edit distances and signatures have no SQL; tests
 #: hold those queries against plain computations.
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op3_span_dedup": OP3_SQL, "op10_quotes": OP10_SQL, "op13_exact_search": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
+    "op3_span_dedup": OP3_SQL,
+    "op10_quotes": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op13_exact_search": OP13_SQL,
+}
