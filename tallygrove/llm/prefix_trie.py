@@ -513,28 +513,28 @@ WITH RECURSIVE shifts AS (
   UNION ALL
   SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM shifts WHERE k < 8),
 crc AS (
-  SELECT conv_id, conv_id::VARCHAR AS name, 1 AS at, 4294967295::BIGINT AS v
+  SELECT conv_id, conv_id::VARCHAR AS name, 1 AS pos, 4294967295::BIGINT AS v
   FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
   UNION ALL
-  SELECT c.conv_id, c.name, c.at + 1, xor(c.v >> 8, s.v)
-  FROM crc c JOIN shifts s ON s.k = 8 AND s.i = xor(c.v & 255, ascii(substr(c.name, c.at, 1))::BIGINT)
-  WHERE c.at <= length(c.name)),
+  SELECT c.conv_id, c.name, c.pos + 1, xor(c.v >> 8, s.v)
+  FROM crc c JOIN shifts s ON s.k = 8 AND s.i = xor(c.v & 255, ascii(substr(c.name, c.pos, 1))::BIGINT)
+  WHERE c.pos <= length(c.name)),
 convs AS (
-  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(v, 4294967295) % 6 AS h FROM crc WHERE at = length(name) + 1),
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(v, 4294967295) % 6 AS h FROM crc WHERE pos = length(name) + 1),
 bare AS (
   SELECT conv_id, turn, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
          length(coalesce(text, '')) AS len
   FROM conversations WHERE conv_id IS NOT NULL),
 turns AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) - 1 AS at FROM bare),
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) - 1 AS pos FROM bare),
 sizes AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id),
 rebuilt AS (
-  SELECT c.conv_id, t.at, t.d, t.len FROM convs c JOIN turns t ON t.conv_id = c.base AND t.at < c.h
+  SELECT c.conv_id, t.pos, t.d, t.len FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
   UNION ALL
-  SELECT c.conv_id, t.at - c.h + least(c.h, coalesce(b.n, 0)), t.d, t.len
-  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.at >= c.h LEFT JOIN sizes b ON b.conv_id = c.base),
+  SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(b.n, 0)), t.d, t.len
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h LEFT JOIN sizes b ON b.conv_id = c.base),
 path AS (
-  SELECT conv_id, at + 1 AS depth, len, string_agg(d, '') OVER (PARTITION BY conv_id ORDER BY at) AS key FROM rebuilt
+  SELECT conv_id, pos + 1 AS depth, len, string_agg(d, '') OVER (PARTITION BY conv_id ORDER BY pos) AS key FROM rebuilt
   UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
 nodes AS (
   SELECT key, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n, any_value(len) AS len,
