@@ -1,9 +1,9 @@
 """Operator 7: near-equal lines by a segment-partition edit join.
 
 A line is normalised (lower case, runs of white space are one blank, none at the
-ends). Lines of at least ``min_chars`` characters take part. Equal lines are one
-line from the start. Two different lines are linked if their edit distance is at
-most ``TAU``:
+ends). Equal lines, however short but not empty, are one line from the start. Two
+different lines of at least ``min_chars`` characters (any two shorter ones could be
+within few edits of each other) are linked if their edit distance is at most ``TAU``:
 
 * each line is cut into TAU + 1 segments of almost equal length. If another, equally
   long or longer by at most TAU, is within TAU edits, it holds one of the segments
@@ -12,12 +12,14 @@ most ``TAU``:
   in the shuffle;
 * small groups of lines that share a key are compared where they meet. Lines of
   larger groups are dealt out again, in blocks, and compared block against block
-  within a task, so that only links leave it, never the pairs looked at;
+  within a task. Of its links only their number and the earliest linked line leave it,
+  for each line, so a group of lines that are all linked stays as small as it is;
 * a pair counts if a banded bit-parallel computation finds at most TAU edits after
-  what they share at both ends is taken off.
+  what they share at both ends is taken off, and counts once: at the least of the keys
+  that they share.
 
 A line is removed if an equal line or a linked line comes earlier, by doc_id and then
-by place in the text; so the earliest of a group always stays. Shorter lines stay.
+by place in the text; so the earliest of a group always stays. Empty lines stay.
 
 Defined cases: a null text has no lines and stays null; an empty one stays empty; a
 document left without any line by removals is empty, and ``lines_left`` says 0; rows
@@ -37,7 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallygrove.llm.common import read, staged
+from tallygrove.functions import named
+from tallygrove.llm.common import read, salted_join, sieved, staged
 
 TAU = 2
 MIN_CHARS = 20
@@ -47,8 +50,6 @@ GROUP, BLOCK = 24, 1024
 SAMPLED, HEAVY = 32, 128
 #: Width of the word of the banded computation.
 WORD = 64
-#: Bits of the map that keeps lines without candidates out of a shuffle: 8 MB.
-BITS = 1 << 26
 
 
 def normal(line: str) -> str:
@@ -160,7 +161,7 @@ def identity(line: str) -> int:
     return (xxhash.xxh3_64_intdigest(line) & ~1) - (1 << 63)
 
 
-def _lines(text: str | None, min_chars: int) -> Iterator[tuple[int, str]]:
+def _lines(text: str | None, min_chars: int = 1) -> Iterator[tuple[int, str]]:
     """(place, normalised line) of the lines that take part."""
     for i, line in enumerate((text or "").split("\n")):
         line = normal(line)
@@ -168,14 +169,14 @@ def _lines(text: str | None, min_chars: int) -> Iterator[tuple[int, str]]:
             yield i, line
 
 
-def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """lid, lid2 (a line's digest), doc_id, line (its place) of all lines."""
+def occurrences(docs: DataFrame) -> DataFrame:
+    """lid, lid2 (a line's digest), doc_id, line (its place) of all lines that are not empty."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for i, line in _lines(text.as_py(), min_chars):
+                for i, line in _lines(text.as_py()):
                     out[0].append(identity(line))
                     out[1].append(xxhash.xxh64_intdigest(line) - (1 << 63))
                     out[2].append(doc_id)
@@ -222,6 +223,25 @@ def keys(docs: DataFrame, min_chars: int, tau: int) -> DataFrame:
     return docs.select("text").mapInArrow(scan, "key long, lid long")
 
 
+def common_keys(a: str, b: str, tau: int = TAU) -> set[int]:
+    """The keys at which two lines meet: own segments of one at places of the other."""
+    found = []
+    for line in (a, b):
+        own, all_ = set(), set()
+        for p, q, seed, is_own in _key_places(len(line), tau):
+            key = xxhash.xxh64_intdigest(line[p:q], seed)
+            all_.add(key)
+            if is_own:
+                own.add(key)
+        found.append((own, all_))
+    return (found[0][0] & found[1][1]) | (found[0][1] & found[1][0])
+
+
+def counting_key(a: str, b: str, tau: int = TAU) -> int:
+    """The key at which a pair counts, as it stands in a column."""
+    return int(np.uint64(min(common_keys(a, b, tau))).view(np.int64))
+
+
 def _key_batch(found: list[int], ids: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.array(found, np.uint64).view(np.int64)), pa.array(np.array(ids, np.int64))], ["key", "lid"]
@@ -244,7 +264,7 @@ def partitions(df: DataFrame) -> int:
 
 
 def meetings(keyed: DataFrame, heavy: list[int]) -> DataFrame:
-    """What meets at a key: pairs (a, b) of small groups, members (key, a) of others.
+    """What meets at a key: pairs (key, a, b) of small groups, members (key, a) of others.
 
     Rows are dealt by key, those of ``heavy`` keys by key and lid, so that these fill
     many tasks; no task sees all of such a key, so its rows become members. Any other
@@ -291,21 +311,24 @@ def _met(k: np.ndarray, v: np.ndarray, edges: np.ndarray) -> Iterator[pa.RecordB
     edge = np.isin(k[start], edges)
     own = np.add.reduceat(v & 1, start)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    of_pairs: list[bool] = []
     large = (size > GROUP) & (own > 0) | edge
     for s, n in zip(start[large], size[large], strict=True):
         out.append((k[s : s + n], v[s : s + n], np.zeros(n, np.int64)))
+        of_pairs.append(False)
     small = start[(size > 1) & (own > 0) & ~large]
     sizes = size[(size > 1) & (own > 0) & ~large]
     for n in np.unique(sizes):
         rows = small[sizes == n][:, None] + np.arange(n)
         i, j = np.triu_indices(int(n), 1)
-        a, b = v[rows[:, i]].ravel(), v[rows[:, j]].ravel()
+        a, b, key = v[rows[:, i]].ravel(), v[rows[:, j]].ravel(), k[rows[:, i]].ravel()
         use = ((a | b) & 1 == 1) & (a >> 1 != b >> 1)
         a, b = a[use] & ~1, b[use] & ~1
-        out.append((np.zeros(len(a), np.int64), np.minimum(a, b), np.maximum(a, b)))
+        out.append((key[use], np.minimum(a, b), np.maximum(a, b)))
+        of_pairs.append(True)
     if out:
         cols = [np.concatenate([o[i] for o in out]) for i in range(3)]
-        is_pair = cols[2] != 0
+        is_pair = np.repeat(of_pairs, [len(o[0]) for o in out])
         yield pa.RecordBatch.from_arrays(
             [pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2], mask=~is_pair)], ["key", "a", "b"]
         )
@@ -317,13 +340,6 @@ def _texts(docs: DataFrame, needed: DataFrame, min_chars: int) -> DataFrame:
     A bit map of fixed size keeps most other lines out of the shuffle; the join
     behind it decides.
     """
-    at = F.pmod(F.xxhash64("lid"), F.lit(BITS))
-    maps = (
-        needed.select(at.alias("at"))
-        .groupBy(F.expr("bitmap_bucket_number(at)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits"))
-    )
-    found = F.broadcast(maps)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,119 +353,149 @@ def _texts(docs: DataFrame, needed: DataFrame, min_chars: int) -> DataFrame:
                         texts.append(line)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["lid", "text"])
 
-    lines = docs.select("text").mapInArrow(scan, "lid long, text string").withColumn("at", at)
-    position = F.expr("bitmap_bit_position(at)").cast("int")
-    byte = F.expr("conv(hex(substring(bits, cast(bitmap_bit_position(at) div 8 as int) + 1, 1)), 16, 10)").cast("int")
-    near = lines.join(found, F.expr("bitmap_bucket_number(at)") == F.col("bucket")).where(
-        F.shiftright(byte, 0).bitwiseAND(F.expr("cast(shiftleft(1, cast(bitmap_bit_position(at) % 8 as int)) as int)")) != 0
-    )
+    lines = docs.select("text").mapInArrow(scan, "lid long, text string")
     # An inner join, as ``needed`` has each lid once: a semi-join would be pushed below
     # the map, and all lines shuffled.
-    return near.select("lid", "text").join(needed, "lid").select("lid", "text").dropDuplicates(["lid", "text"])
+    return sieved(lines, "lid", needed).join(needed, "lid").select("lid", "text").dropDuplicates(["lid", "text"])
+
+
+LINKED = "lid long, near_doc long, near_line long, links long"
+
+
+def _linked(found: dict[int, list], pairs: Iterator[tuple[tuple, tuple]]) -> None:
+    """Note for both lines of each pair of (lid, doc, line) where the other first stands."""
+    for x, y in pairs:
+        for own, other in ((x, y), (y, x)):
+            mine = found.setdefault(own[0], [other[1:], 0])
+            mine[0] = min(mine[0], other[1:])
+            mine[1] += 1
+
+
+def _linked_rows(found: dict[int, list]) -> pa.RecordBatch:
+    cols = ([], [], [], [])
+    for lid, ((doc, line), links) in found.items():
+        for column, value in zip(cols, (lid, doc, line, links), strict=True):
+            column.append(value)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["lid", "near_doc", "near_line", "links"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, tau: int) -> DataFrame:
-    both = (
-        pairs.join(texts.select(F.col("lid").alias("a"), F.col("text").alias("ta")), "a")
-        .join(texts.select(F.col("lid").alias("b"), F.col("text").alias("tb")), "b")
-        .select("a", "b", "ta", "tb")
-    )
+    """``LINKED`` of the pairs (a, b, keys: where they met) of small groups."""
+
+    def side(name: str) -> DataFrame:
+        line = F.struct("lid", "doc_id", "line", "text").alias(f"of_{name}")
+        return texts.select(F.col("lid").alias(name), line)
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("keys", "of_a", "of_b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [within(x.as_py(), y.as_py(), tau) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            found: dict[int, list] = {}
+            for keys, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if within(x["text"], y["text"], tau) and counting_key(x["text"], y["text"], tau) in keys:
+                    _linked(found, [tuple((z["lid"], z["doc_id"], z["line"]) for z in (x, y))])
+            yield _linked_rows(found)
 
-    return both.mapInArrow(verify, "a long, b long")
+    return both.mapInArrow(verify, LINKED)
 
 
 def _in_blocks(members: DataFrame, texts: DataFrame, tau: int) -> DataFrame:
-    """Links within groups of any size: own segments' lines against all, by blocks."""
-    counts = members.groupBy("key").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
-    )
-    lines = members.join(counts, "key").join(
-        texts.withColumnRenamed("text", "t"), F.shiftright("a", 1) == F.shiftright("lid", 1)
-    ).select("key", "a", "blocks", "t")
-    block = F.pmod(F.xxhash64("a", F.lit(7)), F.col("blocks")).cast("int")
+    """``LINKED`` within groups of any size: own segments' lines against all, by blocks."""
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = counts.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    known = texts.select((F.shiftright("lid", 1)).alias("half"), "doc_id", "line", "text")
+    lines = salted_join(members, counts, "key", "a").withColumn("half", F.shiftright("a", 1)).join(known, "half")
+    block = F.pmod(F.xxhash64("half", F.lit(7)), F.col("blocks")).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = lines.where("a % 2 <> 0").select("key", block.alias("i"), each.alias("j"), F.lit(True).alias("own"), "a", "t")
-    right = lines.select("key", each.alias("i"), block.alias("j"), F.lit(False).alias("own"), "a", "t")
-    count = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ("a", "doc_id", "line", "text")
+    left = lines.where("a % 2 <> 0").select("key", block.alias("i"), each.alias("j"), F.lit(True).alias("own"), *columns)
+    right = lines.select("key", each.alias("i"), block.alias("j"), F.lit(False).alias("own"), *columns)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
         for batch in batches:
-            for key, i, j, own, a, t in zip(*(batch.column(n).to_pylist() for n in range(6)), strict=True):
+            for key, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (key, i, j) != at:
-                    yield from _compared(rows, tau)
+                    if rows:
+                        yield _compared(at[0], rows, tau)
                     at, rows = (key, i, j), []
-                rows.append((own, a, t))
-        yield from _compared(rows, tau)
+                rows.append(row)
+        if rows:
+            yield _compared(at[0], rows, tau)
 
     return (
         left.union(right)
-        .repartition(count, "key", "i", "j")
+        .repartition(partitions(members), "key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
-        .mapInArrow(compare, "a long, b long")
+        .mapInArrow(compare, LINKED)
     )
 
 
-def _compared(rows: list[tuple[bool, int, str]], tau: int) -> Iterator[pa.RecordBatch]:
-    left = [(a & ~1, t) for own, a, t in rows if own]
-    right = [(a & ~1, t) for own, a, t in rows if not own]
-    if not left or not right:
-        return
-    bags = [np.array([_bag(t) for _, t in side], np.int16) for side in (left, right)]
-    found = set()
-    for x, bag in zip(left, bags[0], strict=True):
-        # An edit changes two counts of characters by one at most.
-        close = np.flatnonzero(np.abs(bags[1] - bag).sum(axis=1) <= 2 * tau)
-        for y in close:
-            other = right[y]
-            if other[0] != x[0] and within(x[1], other[1], tau):
-                found.add((min(x[0], other[0]), max(x[0], other[0])))
-    if found:
-        a, b = zip(*sorted(found), strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+def _compared(key: int, rows: list[list], tau: int) -> pa.RecordBatch:
+    """Links of one block of a key's own lines with one of all its lines."""
+    left = {a & ~1: (doc, line, t) for own, a, doc, line, t in rows if own}
+    right = {a & ~1: (doc, line, t) for own, a, doc, line, t in rows if not own}
+    owners = {a & ~1 for own, a, *_ in rows if not own and a & 1}
+    found: dict[int, list] = {}
+    if left and right:
+        names = list(right)
+        bags = np.array([_bag(right[y][2]) for y in names], np.int16)
+        for x, (doc, line, t) in left.items():
+            # An edit changes two counts of characters by one at most.
+            for k in np.flatnonzero(np.abs(bags - _bag(t)).sum(axis=1) <= 2 * tau):
+                y = names[k]
+                # Of two owners one is on the left here, the other in another block.
+                if y == x or y in owners and y < x:
+                    continue
+                if within(t, right[y][2], tau) and counting_key(t, right[y][2], tau) == key:
+                    _linked(found, [((x, doc, line), (y, *right[y][:2]))])
+    return _linked_rows(found)
 
 
 def _bag(text: str) -> np.ndarray:
     return np.bincount(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32) % 32, minlength=32)
 
 
-def line_links(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Pairs (a, b) of ids of different lines within ``tau`` edits, each once."""
+ADDED = "lines_left int, lines_removed int, near_removed int, n_links long, removed array<struct<line:long,first_doc_id:long,first_line:long>>"
+
+
+def line_links(docs: DataFrame, firsts: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+    """lid, near (doc_id, line) and n_links of every line with a link.
+
+    ``near`` is where the earliest of the lines within ``tau`` edits first stands,
+    ``n_links`` how many of these there are. ``firsts``: lid, first (doc_id, line).
+    """
     met = staged(meetings(keys(docs, min_chars, tau), heavy_keys(docs, min_chars, tau)), "meetings")
-    pairs = met.where("b is not null").select("a", "b").distinct()
-    members = met.where("b is null").select("key", "a").distinct()
-    useful = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(members.join(useful.select("key"), "key"), "members")
+    # A pair meets at as many keys as its lines have segments and places, at most.
+    pairs = staged(met.where("b is not null").groupBy("a", "b").agg(F.collect_set("key").alias("keys")), "pairs")
+    members = staged(met.where("b is null").select("key", "a").distinct(), "members")
     needed = (
-        met.where("b is not null").select(F.explode(F.array("a", "b")).alias("lid"))
+        pairs.select(F.explode(F.array("a", "b")).alias("lid"))
         .union(members.select((F.shiftright("a", 1) * 2).alias("lid")))
         .distinct()
     )
-    texts = staged(_texts(docs, staged(needed, "needed"), min_chars), "texts")
-    return staged(_verified(pairs, texts, tau).union(_in_blocks(members, texts, tau)).distinct(), "links")
+    texts = _texts(docs, staged(needed, "needed"), min_chars)
+    texts = staged(texts.join(firsts.select("lid", "first.doc_id", "first.line"), "lid"), "texts")
+    found = _verified(pairs, texts, tau).union(_in_blocks(members, texts, tau))
+    nearest = F.struct(F.col("near_doc").alias("doc_id"), F.col("near_line").alias("line"))
+    return staged(found.groupBy("lid").agg(F.min(nearest).alias("near"), F.sum("links").alias("n_links")), "links")
 
 
 def dedup_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without lines that an equal or linked line precedes.
 
     Adds lines_left, lines_removed, near_removed, n_links and removed, a list of
-    (line, first_doc_id, first_line): the place and where the line first stands.
+    (line, first_doc_id, first_line): the place and where the line first stands. Other
+    columns are kept, but for those of these five names.
     """
+    docs = docs.drop(*(f.name for f in T._parse_datatype_string(ADDED).fields))
     known = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    seen = staged(occurrences(known, min_chars), "lines")
+    seen = staged(occurrences(known), "lines")
     firsts = staged(
         seen.groupBy("lid", "lid2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n")),
         "firsts",
     )
-    links = line_links(known, tau=tau, min_chars=min_chars)
-    both = links.union(links.select("b", "a")).toDF("lid", "other")
-    other = both.join(firsts.select(F.col("lid").alias("other"), F.col("first").alias("other_first")), "other")
-    nearest = other.groupBy("lid").agg(F.min("other_first").alias("near"), F.count(F.lit(1)).alias("n_links"))
+    nearest = line_links(known, firsts, tau=tau, min_chars=min_chars)
     marked = (
         firsts.join(nearest, "lid", "left")
         .where("n > 1 or near is not null")
@@ -468,27 +514,29 @@ def dedup_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS)
     )
     # As many as a document has lines.
     per_doc = hits.groupBy("doc_id").agg(F.array_sort(F.collect_list("hit")).alias("hits"))
+    # Only a document's id, text and hits pass the join and Python; its other columns
+    # are in one struct, so that none of their names can clash.
     names = docs.columns
-    joined = docs.withColumn("_id", F.col("doc_id").cast("long")).join(
-        per_doc.select(F.col("doc_id").alias("_id"), F.col("hits").alias("_hits")), "_id", "left"
-    )
-    extra = "lines_left int, lines_removed int, near_removed int, n_links long, removed array<struct<line:long,first_doc_id:long,first_line:long>>"
-    schema = docs.select(*names).schema
-    for field in T._parse_datatype_string(extra).fields:
+    schema = docs.schema
+    for field in T._parse_datatype_string(ADDED).fields:
         schema = schema.add(field)
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*map(named, names)).alias("row"))
+    joined = whole.join(per_doc.select(F.col("doc_id").alias("id"), "hits"), "id", "left")
+    joined = joined.select("row", F.col("row")["text"].alias("text"), "hits")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed_type = pa.list_(pa.struct([("line", pa.int64()), ("first_doc_id", pa.int64()), ("first_line", pa.int64())]))
         for batch in batches:
             texts, out = [], ([], [], [], [], [])
-            for text, hits in zip(batch.column("text"), batch.column("_hits"), strict=True):
-                new, *counts = _without(text.as_py(), hits.as_py() or [], min_chars)
+            given = batch.column(0).flatten()
+            for text, hits in zip(batch.column(1), batch.column(2), strict=True):
+                new, *counts = _without(text.as_py(), hits.as_py() or [])
                 texts.append(new)
                 for column, value in zip(out, counts, strict=True):
                     column.append(value)
             types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), removed_type)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+                [pa.array(texts, pa.string()) if n == "text" else c for n, c in zip(names, given, strict=True)]
                 + [pa.array(c, t) for c, t in zip(out, types, strict=True)],
                 [f.name for f in schema.fields],
             )
@@ -496,7 +544,7 @@ def dedup_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS)
     return joined.mapInArrow(rebuild, schema)
 
 
-def _without(text: str | None, hits: list[dict], min_chars: int) -> tuple:
+def _without(text: str | None, hits: list[dict]) -> tuple:
     """A text less its removed lines, with the counts and places of these."""
     if text is None:
         return None, 0, 0, 0, 0, []

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallygrove.llm import line_dedup, near_dedup
 from tallygrove.llm.common import components, multiset_jaccard, shingles
@@ -71,50 +72,70 @@ def test_line_links_and_removals_equal_brute_force(spark):
     first = {}
     for doc, text, _ in rows:
         for i, line in enumerate(text.split("\n")):
-            if len(normal(line)) >= 20:
-                first.setdefault(normal(line), (doc, i))
-    linked = [(x, y) for x, y in itertools.combinations(first, 2) if distance(x, y) <= 2]
+            first.setdefault(normal(line), (doc, i))
+    long = [x for x in first if len(x) >= 20]
+    linked = [(x, y) for x, y in itertools.combinations(long, 2) if distance(x, y) <= 2]
     assert linked
     earlier = {max(p, key=first.get) for p in linked}
+    links = {x: sum(x in p for p in linked) for x in first}
     for doc, text, _ in rows:
-        keep = [
-            line
-            for i, line in enumerate(text.split("\n"))
-            if len(normal(line)) < 20 or (first[normal(line)] == (doc, i) and normal(line) not in earlier)
-        ]
+        lines = list(enumerate(text.split("\n")))
+        keep = [line for i, line in lines if first[normal(line)] == (doc, i) and normal(line) not in earlier]
         assert out[doc].text == "\n".join(keep)
+        assert out[doc].n_links == sum(links[normal(line)] for _, line in lines)
+
+
+def _line_links(spark, rows, **settings):
+    docs = spark.createDataFrame(rows, DOCS).select("doc_id", "text")
+    firsts = line_dedup.occurrences(docs).groupBy("lid").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+    return {(r.lid, tuple(r.near), r.n_links) for r in line_links(docs, firsts, **settings).collect()}
+
+
+def _linked_truth(rows):
+    """As many links and the first linked place of every line, one line a row."""
+    out, bare = set(), {}
+    for i, line, _ in rows:
+        bare.setdefault(normal(line), (i, 0))
+    for x in bare:
+        near = [bare[y] for y in bare if y != x and abs(len(x) - len(y)) <= 2 and within(x, y)]
+        if near:
+            out.add((line_dedup.identity(x), min(near), len(near)))
+    return out
 
 
 def test_heavy_keys_change_no_link(spark, monkeypatch):
     rows = [(i, line, None) for i, line in enumerate(_lines(9, 200))]
     docs = spark.createDataFrame(rows, DOCS)
-    plain = {tuple(r) for r in line_links(docs).collect()}
-    assert plain and not line_dedup.heavy_keys(docs, 20, 2)
+    plain = _line_links(spark, rows)
+    assert plain == _linked_truth(rows) and not line_dedup.heavy_keys(docs, 20, 2)
     monkeypatch.setattr(line_dedup, "SAMPLED", 1)
     monkeypatch.setattr(line_dedup, "HEAVY", 2)
     assert len(line_dedup.heavy_keys(docs, 20, 2)) > 1
-    assert {tuple(r) for r in line_links(docs).collect()} == plain
+    assert _line_links(spark, rows) == plain
 
 
 def test_lines_of_a_large_group_are_compared_in_blocks(spark):
     stem = "the same long beginning of all these lines "
-    words = {"".join(w) for w in itertools.product("abcdef", repeat=4)}
-    rows = [(i, stem + w + " and the same end of them all", None) for i, w in enumerate(sorted(words))]
-    assert len(rows) > BLOCK
-    found = line_links(spark.createDataFrame(rows, DOCS)).count()
-    pairs = sum(within(a, b) for a, b in itertools.combinations([r[1] for r in rows[:200]], 2))
-    wanted = sum(sum(x != y for x, y in zip(a, b, strict=True)) <= 2 for a, b in itertools.combinations([w for w in sorted(words)], 2))
-    assert pairs and found >= wanted
+    words = sorted("".join(w) for w in itertools.product("abcde", repeat=4))[:300]
+    rows = [(i, stem + w + " and the same end of them all", None) for i, w in enumerate(words)]
+    assert _line_links(spark, rows) == _linked_truth(rows)
+    many = [(i, f"{stem}{i:05d} and the same end of them all", None) for i in range(2500)]
+    assert len(many) > 2 * BLOCK
+    docs = spark.createDataFrame(many, DOCS).select("doc_id", "text")
+    firsts = [i for i in range(2500) if all(within(many[i][1], many[j][1]) is False for j in range(i))]
+    out = dedup_lines(docs).where("lines_left > 0").collect()
+    assert sorted(r.doc_id for r in out) == firsts
 
 
 def test_line_dedup_odd_rows(spark):
     line = "a line that is long enough to take part"
     rows = [(2, line, None), (1, line + "!", None), (1, line + "!", None), (3, None, None), (4, "", None), (None, line, None)]
     rows.append((5, "\n".join([line] * 3000), None))
-    out = dedup_lines(spark.createDataFrame(rows, DOCS).withColumnRenamed("lines_left", "extra")).collect()
+    rows += [(6, "tiny!\nown", None), (7, "tiny!\n\n", None)]
+    out = dedup_lines(spark.createDataFrame(rows, DOCS)).collect()
     texts = sorted(((r.doc_id, r.text) for r in out), key=repr)
-    assert texts == sorted([(1, line + "!"), (1, line + "!"), (2, ""), (3, None), (4, ""), (5, ""), (None, line)], key=repr)
-    assert dedup_lines(spark.createDataFrame([], DOCS).drop("lines_left")).count() == 0
+    assert texts == sorted([(1, line + "!"), (1, line + "!"), (2, ""), (3, None), (4, ""), (5, ""), (6, "tiny!\nown"), (7, "\n"), (None, line)], key=repr)
+    assert dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
 def test_span_dedup_equals_its_sql(spark):
