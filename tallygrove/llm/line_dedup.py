@@ -520,15 +520,15 @@ def dedup_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS)
     schema = docs.schema
     for field in T._parse_datatype_string(ADDED).fields:
         schema = schema.add(field)
-    whole = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*map(named, names)).alias("row"))
-    joined = whole.join(per_doc.select(F.col("doc_id").alias("id"), "hits"), "id", "left")
-    joined = joined.select("row", F.col("row")["text"].alias("text"), "hits")
+    others = [n for n in names if n != "text"]
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*map(named, others)).alias("row"), "text")
+    joined = whole.join(per_doc.select(F.col("doc_id").alias("id"), "hits"), "id", "left").select("row", "text", "hits")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed_type = pa.list_(pa.struct([("line", pa.int64()), ("first_doc_id", pa.int64()), ("first_line", pa.int64())]))
         for batch in batches:
             texts, out = [], ([], [], [], [], [])
-            given = batch.column(0).flatten()
+            given = dict(zip(others, batch.column(0).flatten(), strict=True))
             for text, hits in zip(batch.column(1), batch.column(2), strict=True):
                 new, *counts = _without(text.as_py(), hits.as_py() or [])
                 texts.append(new)
@@ -536,7 +536,7 @@ def dedup_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS)
                     column.append(value)
             types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), removed_type)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if n == "text" else c for n, c in zip(names, given, strict=True)]
+                [pa.array(texts, pa.string()) if n == "text" else given[n] for n in names]
                 + [pa.array(c, t) for c, t in zip(out, types, strict=True)],
                 [f.name for f in schema.fields],
             )

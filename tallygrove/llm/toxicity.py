@@ -121,6 +121,8 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 16_384) -> np.n
         .mapInArrow(_learn, "feature long, weight double")
         .toPandas()
     )
+    if learned.empty:  # no labelled text is there
+        return np.append(np.zeros(DIMENSIONS), -40.0)
     weights = np.zeros(DIMENSIONS + 1)
     weights[learned["feature"].to_numpy(np.int64)] = learned["weight"].to_numpy()
     return weights
