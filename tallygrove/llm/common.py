@@ -6,11 +6,15 @@ import zlib
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.sources import shared_path
 
+# Python workers live on between tasks: what a batch took goes back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: ASCII punctuation and digits' neighbours become blanks before words are cut.
 _BLANKS = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 

@@ -48,6 +48,8 @@ MIN_CHARS = 20
 GROUP, BLOCK = 24, 1024
 #: Heavy keys are looked for in one of so many texts, and have so many rows there.
 SAMPLED, HEAVY = 32, 128
+#: Texts that are rebuilt at a time.
+REBUILT = 500
 #: Width of the word of the banded computation.
 WORD = 64
 
@@ -526,20 +528,22 @@ def dedup_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS)
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed_type = pa.list_(pa.struct([("line", pa.int64()), ("first_doc_id", pa.int64()), ("first_line", pa.int64())]))
-        for batch in batches:
-            texts, out = [], ([], [], [], [], [])
-            given = dict(zip(others, batch.column(0).flatten(), strict=True))
-            for text, hits in zip(batch.column(1), batch.column(2), strict=True):
-                new, *counts = _without(text.as_py(), hits.as_py() or [])
-                texts.append(new)
-                for column, value in zip(out, counts, strict=True):
-                    column.append(value)
-            types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), removed_type)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if n == "text" else given[n] for n in names]
-                + [pa.array(c, t) for c, t in zip(out, types, strict=True)],
-                [f.name for f in schema.fields],
-            )
+        types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), removed_type)
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, REBUILT):
+                batch = whole_batch.slice(at, REBUILT)
+                texts, out = [], ([], [], [], [], [])
+                given = dict(zip(others, batch.column(0).flatten(), strict=True))
+                for text, hits in zip(batch.column(1), batch.column(2), strict=True):
+                    new, *counts = _without(text.as_py(), hits.as_py() or [])
+                    texts.append(new)
+                    for column, value in zip(out, counts, strict=True):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(texts, pa.string()) if n == "text" else given[n] for n in names]
+                    + [pa.array(c, t) for c, t in zip(out, types, strict=True)],
+                    [f.name for f in schema.fields],
+                )
 
     return joined.mapInArrow(rebuild, schema)
 

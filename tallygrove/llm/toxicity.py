@@ -63,9 +63,9 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - np.where(at == DIMENSIONS, 0.0, L1), 0.0)
         return -shrunk / ((RATE_BASE + np.sqrt(n[at])) / RATE + L2)
 
-    rows = [np.append(r, DIMENSIONS) for r in rows]
     for _ in range(PASSES):
-        for at, label in zip(rows, labels, strict=True):
+        for row, label in zip(rows, labels, strict=True):
+            at = np.append(row, DIMENSIONS)  # not kept: the rows are the larger part of memory
             w = weights(at)
             g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - label
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / RATE
