@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrove.functions import METRICS
@@ -68,9 +68,9 @@ def metrics(
 
     ``dataset`` prepends a column of that value.
     """
-    # One row per class enters the unpartitioned window; classes are whole numbers, so
-    # that a measure taken for a label by mistake raises before it gets here.
-    totalled = per_class(counts).withColumn("total", F.sum("labelled").over(Window.partitionBy()))
+    # The total is a scalar of its own aggregate: no task sees the rows of all classes.
+    classes = per_class(counts)
+    totalled = classes.withColumn("total", classes.agg(F.sum("labelled")).scalar())
     wide = totalled.agg(*(METRICS[name]().alias(name) for name in names))
     entries = F.array(
         *(F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names)

@@ -75,6 +75,8 @@ NONFINITE_WEIGHTS = [
 NONFINITE_INTERCEPTS = [0.5, 0.25, 0.125, 0.0]
 
 EMBEDDING_SIZE = 64
+#: How near a fitted mean comes to the observed one at the optimum.
+OPTIMUM = 1e-5
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -258,17 +260,18 @@ def fit_bands_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit_bands_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics of the training rows."""
-    model, flat = _fit_bands(spark, sf_dir)
-    counts = confusion(predictions(model, flat, BAND_FEATURES, scorer="expressions"))
-    found = _rounded(metrics(counts, tuple(TRAINING_METRICS)))
+    """Metrics of the training rows, as the model's own summary has them."""
+    model, _ = _fit_bands(spark, sf_dir)
     summary = classifier(model).summary
-    own = {"accuracy": summary.accuracy, "weightedPrecision": summary.weightedPrecision}
-    # Two of them as the model's own summary has them.
-    value = F.col("value")
-    for name, number in own.items():
-        value = F.when(F.col("metric") == name, F.round(F.lit(number), 6)).otherwise(value)
-    return found.withColumn("value", value)
+    own = {
+        "accuracy": summary.accuracy,
+        "weightedFalsePositiveRate": summary.weightedFalsePositiveRate,
+        "weightedTruePositiveRate": summary.weightedTruePositiveRate,
+        "weightedFMeasure": summary.weightedFMeasure(),
+        "weightedPrecision": summary.weightedPrecision,
+        "weightedRecall": summary.weightedRecall,
+    }
+    return _rounded(spark.createDataFrame(list(own.items()), "metric string, value double"))
 
 
 def fit_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,7 +308,8 @@ def fit_embeddings_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     At the optimum of a fit without penalty, the mean of p_k * x_j over all rows is
     that of x_j over the rows of label k with 0 for others, and the mean of p_k is the
-    share of label k (feature -1).
+    share of label k (feature -1). ``mean`` is the observed one; ``optimal`` says
+    whether the fitted one is within ``OPTIMUM`` of it.
     """
     names = [f"e{i}" for i in range(EMBEDDING_SIZE)]
     wide = _table(spark, sf_dir, "embeddings").select(
@@ -315,19 +319,26 @@ def fit_embeddings_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _fit(flat, names)
     scored = score(model, assemble(flat, names))
     rows = scored.select(
+        "label",
         vector_to_array("features").alias("x"),
         F.posexplode(vector_to_array("probability")).alias("class", "p"),
     )
+    seen = (F.col("label") == F.col("class")).cast("double")
+    inputs = [F.lit(1.0), *(F.col("x")[j] for j in range(EMBEDDING_SIZE))]
     means = rows.groupBy("class").agg(
-        F.avg("p").alias("p"),
-        *(F.avg(F.col("p") * F.col("x")[j]).alias(n) for j, n in enumerate(names)),
-    )
-    entries = [F.struct(F.lit(-1).alias("feature"), F.col("p").alias("mean"))]
-    entries += [F.struct(F.lit(j).alias("feature"), F.col(n).alias("mean")) for j, n in enumerate(names)]
-    # A value that rounds to zero from below is zero.
-    return means.select("class", F.inline(F.array(*entries))).select(
-        "class", "feature", (F.round("mean", 4) + F.lit(0.0)).alias("mean")
+        *(F.avg(F.col("p") * x).alias(f"fitted{j}") for j, x in enumerate(inputs)),
+        *(F.avg(seen * x).alias(f"seen{j}") for j, x in enumerate(inputs)),
     )
+    entries = [
+        F.struct(
+            F.lit(j - 1).alias("feature"),
+            # A value that rounds to zero from below is zero.
+            (F.round(f"seen{j}", 6) + F.lit(0.0)).alias("mean"),
+            (F.abs(F.col(f"fitted{j}") - F.col(f"seen{j}")) < OPTIMUM).alias("optimal"),
+        )
+        for j in range(len(inputs))
+    ]
+    return means.select("class", F.inline(F.array(*entries)))
 
 
 def model_roundtrip_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,7 +194,8 @@ ORACLES: dict[str, str] = {
                  CASE WHEN feature < 0 THEN 1.0 ELSE CAST(embedding[feature + 1] AS DOUBLE) END AS x
           FROM entries)
         SELECT CAST(class AS INTEGER) AS class, CAST(feature AS INTEGER) AS feature,
-               round(sum(CASE WHEN label = class THEN x ELSE 0 END) / count(*), 4) + 0.0::DOUBLE AS mean
+               round(sum(CASE WHEN label = class THEN x ELSE 0 END) / count(*), 6) + 0.0::DOUBLE AS mean,
+               TRUE AS optimal
         FROM cells, classes GROUP BY ALL""",
     "fit_binary_frequencies": """
         WITH shares AS (

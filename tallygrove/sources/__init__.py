@@ -2,6 +2,8 @@ from tallygrove.sources.sinks import preview, report_lines, write_scored
 from tallygrove.sources.tables import read_table
 from tallygrove.sources.workspace import (
     held,
+    leaving_nothing,
+    remove,
     shared_dir,
     shared_path,
     stage,
@@ -9,8 +11,10 @@ from tallygrove.sources.workspace import (
 
 __all__ = [
     "held",
+    "leaving_nothing",
     "preview",
     "read_table",
+    "remove",
     "report_lines",
     "shared_dir",
     "shared_path",

@@ -33,9 +33,42 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir()
 
 
+#: What the open scopes have been handed, the innermost last.
+_scopes: list[list[str]] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; no two calls return the same."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; no two calls return the same.
+
+    It belongs to the innermost open scope (see ``leaving_nothing``), if there is one.
+    """
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what lies at ``path``, in whatever file system; nothing there is fine."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def leaving_nothing(spark: SparkSession) -> Iterator[None]:
+    """Delete all intermediate tables that were written within, when the block ends.
+
+    Results are read from such tables, so read or write them before the end: a job's
+    or query's caller opens the scope, not the query. Scopes can be nested.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            remove(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -58,7 +91,7 @@ def held(df: DataFrame, reuse: str) -> Iterator[DataFrame]:
 
     * ``"rescan"``: nothing is kept. Right for columnar sources, where each
       pass reads a few pruned columns.
-    * ``"stage"``: one columnar copy in the shared folder, emptied at the end.
+    * ``"stage"``: one columnar copy in the shared folder, deleted at the end.
       Right for text, which is slow to parse again, and for clusters that
       lose executors.
     * ``"cache"``: executor memory, spilling to disk, released at the end.
@@ -70,8 +103,7 @@ def held(df: DataFrame, reuse: str) -> Iterator[DataFrame]:
         try:
             yield _write_and_scan(df, path)
         finally:
-            nothing = df.sparkSession.createDataFrame([], df.schema)
-            nothing.write.mode("overwrite").parquet(path)
+            remove(df.sparkSession, path)
     elif reuse == "cache":
         kept = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:

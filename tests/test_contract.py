@@ -1,5 +1,6 @@
 """The registered queries against their SQL, and the shape of their plans."""
 
+import os
 from pathlib import Path
 
 import duckdb
@@ -9,8 +10,9 @@ from conftest import SF, plan_of
 from __spark_entry__ import entry, oracle_sql, queries
 from tallygrove.plans import contract
 from tallygrove.plans.oracles import ORACLES
+from tallygrove.sources import leaving_nothing, shared_dir
 
-SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -27,13 +29,17 @@ def test_every_query_has_sql_unless_it_cannot():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query_equals_its_sql(spark, database, name):
-    got = queries()[name](spark, SF)
+def test_query_equals_its_sql_and_leaves_nothing(spark, database, name):
+    os.makedirs(shared_dir(spark), exist_ok=True)
+    before = set(os.listdir(shared_dir(spark)))
     wanted = database.execute(oracle_sql()[name])
     types = {c[0]: str(c[1]) for c in wanted.description}
-    assert {c: SQL_TYPES[t] for c, t in got.dtypes} == types
     order = [c[0] for c in wanted.description]
-    ours = sorted((tuple(r) for r in got.select(*order).collect()), key=repr)
+    with leaving_nothing(spark):
+        got = queries()[name](spark, SF)
+        assert {c: SQL_TYPES[t] for c, t in got.dtypes} == types
+        ours = sorted((tuple(r) for r in got.select(*order).collect()), key=repr)
+    assert set(os.listdir(shared_dir(spark))) <= before
     assert ours == sorted(wanted.fetchall(), key=repr)
 
 

@@ -140,3 +140,13 @@ def test_j4_evaluation_passes_over_the_rows_once(spark):
         "weightedPrecision",
         "weightedRecall",
     ]
+
+
+def test_very_many_classes_meet_in_no_single_task(spark):
+    n = 100_000
+    pairs = spark.range(n).select(F.col("id").alias("label"), (F.col("id") + (F.col("id") % 2)).alias("prediction"))
+    found = metrics(confusion(pairs))
+    plan = plan_of(found)
+    assert "Window" not in plan and "Join" not in plan
+    values = {r.metric: r.value for r in found.collect()}
+    assert values["accuracy"] == 0.5 and values["weightedRecall"] == pytest.approx(0.5)

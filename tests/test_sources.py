@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallygrove.operators import prepare_table
 from tallygrove.sources import (
     held,
+    leaving_nothing,
     preview,
     read_table,
     report_lines,
@@ -159,12 +160,28 @@ def test_c1_every_way_of_reuse_gives_the_same_rows(spark, reuse):
     assert not df.storageLevel.useMemory
 
 
-def test_c1_the_staged_copy_is_emptied_even_after_a_failure(spark):
+def test_c1_the_staged_copy_is_deleted_even_after_a_failure(spark):
     with pytest.raises(RuntimeError), held(spark.range(10), "stage") as kept:
         path = kept.inputFiles()[0].rsplit("/", 1)[0]
         assert spark.read.parquet(path).count() == 10
         raise RuntimeError
-    assert spark.read.parquet(path).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_c1_a_scope_deletes_what_was_staged_within_it(spark):
+    outside = stage(spark.range(3), "t")
+    with pytest.raises(RuntimeError), leaving_nothing(spark):
+        with leaving_nothing(spark):
+            inner = stage(spark.range(4), "t").inputFiles()[0].rsplit("/", 1)[0]
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(inner)
+        outer = stage(spark.range(5), "t").inputFiles()[0].rsplit("/", 1)[0]
+        assert spark.read.parquet(outer).count() == 5
+        raise RuntimeError
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(outer)
+    assert outside.count() == 3
 
 
 def test_c1_unknown_way_of_reuse(spark):
