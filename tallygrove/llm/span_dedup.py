@@ -4,12 +4,13 @@ A text is cut into units, lines by default, whose places in it (start, stop, in
 characters) are kept. A unit is normalised (lower case, each run of white space one
 blank, none at the ends) and hashed. Digests are grouped over all documents; the
 occurrence that ranks first, by doc_id and then by place, stays, all others are
-removed. Units of fewer than ``min_words`` words are left alone, as a line of a word
-or two repeats without being copied.
+removed. Every unit that is not empty takes part; ``min_words`` leaves shorter ones alone.
+A passage that repeats within longer lines that differ is no unit and stays.
 
-All is DataFrame functions. Digests that occur once are gone after the first
+Digests that occur once are gone after the first
 aggregation, whose minima are found before the shuffle, so a frequent line is one row
-per task there; only the places of removed units meet the documents again.
+per task there; only the numbers of removed units meet the documents again, which are
+rebuilt in one pass over their units.
 
 Defined cases: a null text has no units and stays null; an empty text stays empty; of
 equal units within a document the first stays; equal rows keep or lose the same
@@ -20,12 +21,19 @@ an empty result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.llm.common import read, staged
 
-MIN_WORDS = 4
+MIN_WORDS = 1
+#: Texts that are rebuilt at a time.
+REBUILT = 500
+SPAN = ("start", "stop", "first_doc_id")
+SPANS = pa.list_(pa.struct([(name, pa.int64()) for name in SPAN]))
 #: What separates units.
 ENDS = {"line": "\n", "paragraph": "\n\n"}
 
@@ -72,41 +80,46 @@ def dedup_units(docs: DataFrame, *, unit: str = "line", min_words: int = MIN_WOR
         .groupBy("doc_id", "row_hash")
         .agg(F.array_sort(F.collect_list("hit")).alias("hits"))
     )
-    # Nothing but the documents that lose units is rebuilt.
-    joined = _keyed(docs).join(gone, ["doc_id", "row_hash"], "left")
-    none = F.array().cast("array<struct<start:bigint,stop:bigint,first_doc_id:bigint>>")
-    parts = F.split("text", end, -1)
-    places = F.transform(F.col("hits"), lambda h: h["n"])
-    # Where each unit starts: the lengths before it, in one pass.
-    starts = F.aggregate(
-        F.transform(F.col("parts"), lambda u: F.length(u).cast("long")),
-        F.array(F.lit(0).cast("long")),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n + len(end))),
-    )
-    spans = F.transform(
-        F.col("hits"),
-        lambda h: F.struct(
-            F.element_at(F.col("starts"), h["n"] + 1).alias("start"),
-            (F.element_at(F.col("starts"), h["n"] + 2) - len(end)).alias("stop"),
-            h["first_doc_id"].alias("first_doc_id"),
-        ),
-    )
-    kept = F.array_join(
-        F.filter(F.col("parts"), lambda u, i: ~F.array_contains(F.col("places"), i)), end
-    )
-    return (
-        joined.withColumn("parts", F.when(F.col("hits").isNotNull(), parts))
-        .withColumn("starts", F.when(F.col("hits").isNotNull(), starts))
-        .withColumn("places", places)
-        .select(
-            "doc_id",
-            F.when(F.col("hits").isNotNull(), kept).otherwise(F.col("text")).alias("text"),
-            F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")).alias("n_removed"),
-            F.coalesce(spans, none).alias("removed"),
-        )
+    joined = _keyed(docs).join(gone, ["doc_id", "row_hash"], "left").select("doc_id", "text", "hits")
+
+    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, REBUILT):
+                batch = whole.slice(at, REBUILT)
+                texts, spans = [], []
+                for text, hits in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+                    kept, removed = without(text.as_py(), {h["n"]: h["first_doc_id"] for h in hits or ()}, end)
+                    texts.append(kept)
+                    spans.append(removed)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array(texts, pa.string()),
+                        pa.array([len(r) for r in spans], pa.int32()),
+                        pa.array([[dict(zip(SPAN, x, strict=True)) for x in r] for r in spans], SPANS),
+                    ],
+                    ["doc_id", "text", "n_removed", "removed"],
+                )
+
+    return joined.mapInArrow(
+        rebuild, "doc_id long, text string, n_removed int, removed array<struct<start:long,stop:long,first_doc_id:long>>"
     )
 
 
+def without(text: str | None, gone: dict[int, int], end: str) -> tuple[str | None, list[tuple[int, int, int]]]:
+    """A text less the units numbered in ``gone`` (first_doc_id by number), and their places."""
+    if not gone:
+        return text, []
+    kept, removed, start = [], [], 0
+    for n, unit in enumerate(text.split(end)):
+        if n in gone:
+            removed.append((start, start + len(unit), gone[n]))
+        else:
+            kept.append(unit)
+        start += len(unit) + len(end)
+    return end.join(kept), removed
+
+
 def op3_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text, n_removed, spans ("start-stop,...") of every document."""
     spans = F.transform("removed", lambda r: F.concat_ws("-", r["start"], r["stop"]))
@@ -125,7 +138,7 @@ placed AS (
          lower(trim(regexp_replace(unit, '[ \t\r\n\x0B\f]+', ' ', 'g'))) AS bare
   FROM units),
 ranked AS (
-  SELECT *, bare <> '' AND length(bare) - length(replace(bare, ' ', '')) + 1 >= 4
+  SELECT *, bare <> ''
             AND row_number() OVER (PARTITION BY bare ORDER BY doc_id, n) > 1 AS gone
   FROM placed),
 rebuilt AS (

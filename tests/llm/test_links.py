@@ -161,6 +161,11 @@ def test_spans_point_into_the_original(spark, unit):
     assert by_id[4, False].text == "" and by_id[4, False].n_removed == 400
     assert by_id[None, False].text == copied and by_id[3, False].text == "" and len(out) == len(rows)
     assert dedup_units(spark.createDataFrame([], DOCS)).count() == 0
+    long = end.join(["again", "own 1", ""] + [f"unit {i % 15_000}" for i in range(30_000)])
+    out = dedup_units(spark.createDataFrame([(1, "again", None), (2, long, None)], DOCS), unit=unit).collect()
+    two = next(r for r in out if r.doc_id == 2)
+    assert two.n_removed == 15_001 and two.text == end.join(["own 1", ""] + [f"unit {i}" for i in range(15_000)])
+    assert all(long[r.start : r.stop] in ("again", f"unit {(i - 1) % 15_000}") for i, r in enumerate(two.removed))
 
 
 def test_dart_signatures_agree_as_often_as_sets_are_similar():
