@@ -2,19 +2,26 @@
 
 A table has ``m`` functions floor((a . x + b) / w) with Gaussian a, of unit vectors x;
 their values together are a bucket. A query visits, in each table, the buckets in
-falling order of the probability that a neighbour at distance ``REACH`` lies there,
+falling order of the probability that a neighbour at distance ``reach`` lies there,
 which the query's own position within its cells determines, and stops when those
-visited hold ``SUCCESS`` of that probability. Buckets are enumerated best first, each
+visited hold ``success`` of that probability. Buckets are enumerated best first, each
 exactly once. What the tables return is merged and ranked by the exact cosine.
 
-Queries and vectors of a bucket meet in blocks of at most ``BLOCK`` vectors and as
-many queries; each block hands on its best ``k`` per query only. Equal vectors are one
-class, of which a query can need k + 1 ids at most: the smallest are kept, and
-exactly those can be in its answer. A query with fewer than k found is compared with
-all vectors, in blocks.
-
-``m`` grows with the logarithm of the number of vectors, so that buckets keep their
-size. Defined cases: vectors null, zero, or with null or non-finite components take no
+Functions, width, reach, tables and success are chosen for each search (``Plan``) from
+a sample: ``ASKED`` queries, whose true neighbours are found by setting them against
+all vectors, in blocks, and ``SEEN`` vectors, of which a bucket holds its share. Of the
+plans that find ``AIM`` of the sample's neighbours the one with the least work is taken.
+Where vectors cluster, a query visits few of them; where neighbours are nearly as far
+as any other vector, no plan can leave many out, and the sample shows that too.
+
+Probes are shipped as pairs of bucket and query; those of empty buckets go before the
+queries' vectors are joined to the rest. Queries and vectors of a bucket meet in blocks
+of at most ``BLOCK`` vectors and as many queries; each block hands on its best ``k`` per
+query only. Equal vectors are one class, of which a query can need k + 1 ids at most:
+the smallest are kept, and exactly those can be in its answer. A query with fewer than
+k found is compared with all vectors, in blocks.
+
+Defined cases: vectors null, zero, or with null or non-finite components take no
 part; rows with a null id neither; a query meets vectors of its own length only, and
 each length is a search of its own; rows with the same id and different vectors count
 each; an empty table gives an empty result.
@@ -25,43 +32,61 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallygrove.llm.common import read, staged
-from tallygrove.llm.embedding_dedup import dense_number, lengths, usable
+from tallygrove.llm.common import read, salted_join, staged
+from tallygrove.llm.embedding_dedup import dense_number, lengths, unit, usable
+
+#: Queries and vectors that a plan is chosen by.
+ASKED, SEEN = 48, 4_096
+#: Share of the sample's neighbours that a plan has to find.
+AIM = 0.97
+#: What a plan may be made of; the width is in units of the reach.
+TABLES, FUNCTIONS, WIDTHS, SUCCESSES = (1, 2, 3), (1, 2, 3, 4, 6, 8, 10, 12), (1.5, 3.0), (0.6, 0.7, 0.8, 0.9, 0.95, 0.98)
+#: Probes of a query in a table at most, and the comparisons that one costs as much as.
+PROBES, PROBE_COST = 512, 20
+BLOCK = 2_048
+
+
+class Plan(NamedTuple):
+    tables: int
+    m: int
+    width: float
+    reach: float
+    success: float
 
-TABLES, WIDTH = 3, 1.5
-#: A neighbour's distance that the probes are made for (of unit vectors).
-REACH, SUCCESS = 1.2, 0.75
-BUCKET, BLOCK = 256, 2_048
 
+class Choice(NamedTuple):
+    """A plan and what the sample says of it: per query and table, but recall."""
 
-def functions_for(number: int) -> int:
-    """Hash functions a table has: each cuts the vectors in about 2.8 parts."""
-    return max(1, round(math.log(max(number, 2) / BUCKET, 2.8)))
+    plan: Plan
+    recall: float
+    share: float
+    probes: float
 
 
-def hash_family(table: int, m: int, d: int) -> tuple[np.ndarray, np.ndarray]:
+def hash_family(table: int, m: int, d: int, width: float) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(1000 + table)
-    return rng.normal(size=(d, m)), rng.uniform(0, WIDTH, m)
+    return rng.normal(size=(d, m)), rng.uniform(0, width, m)
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.vectorize(math.erf, otypes=[float])(x / math.sqrt(2)))
 
 
-def probes(position: np.ndarray, success: float = SUCCESS, reach: float = REACH) -> Iterator[tuple[int, ...]]:
+def probes(position: np.ndarray, deviation: float, success: float) -> Iterator[tuple[tuple[int, ...], float]]:
     """Buckets in falling order of a neighbour's probability, up to ``success`` of it.
 
     ``position``: (a . x + b) / w of the query for each function. Along each the
-    neighbour's position differs by a normal number of deviation reach / w.
+    neighbour's position differs by a normal number of the given deviation, reach / w.
+    With each comes the probability of those before it.
     """
     choices = []
-    deviation = reach / WIDTH
     for p in position:
         cells = np.arange(math.floor(p - 4 * deviation), math.floor(p + 4 * deviation) + 1)
         chance = _normal((cells + 1 - p) / deviation) - _normal((cells - p) / deviation)
@@ -69,11 +94,11 @@ def probes(position: np.ndarray, success: float = SUCCESS, reach: float = REACH)
         choices.append((cells[order].tolist(), np.log(np.maximum(chance[order], 1e-300)).tolist()))
     first = (0,) * len(choices)
     heap = [(-sum(c[1][0] for c in choices), 0, first)]
-    seen_mass = 0.0
-    while heap and seen_mass < success:
+    before = 0.0
+    while heap and before < success:
         cost, moved, ranks = heapq.heappop(heap)
-        seen_mass += math.exp(-cost)
-        yield tuple(c[0][r] for c, r in zip(choices, ranks, strict=True))
+        yield tuple(c[0][r] for c, r in zip(choices, ranks, strict=True)), before
+        before += math.exp(-cost)
         # The next ones step on in the last function moved or a later one, so that
         # each combination comes once.
         for i in range(moved, len(ranks)):
@@ -82,6 +107,58 @@ def probes(position: np.ndarray, success: float = SUCCESS, reach: float = REACH)
                 heapq.heappush(heap, (cost + step, i, ranks[:i] + (ranks[i] + 1,) + ranks[i + 1 :]))
 
 
+def _visited(asked: np.ndarray, others: np.ndarray, table: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """At what probability each query visits each of the others (2: never), and the
+    probabilities at its probes (2 beyond the last)."""
+    a, b = hash_family(table, plan.m, asked.shape[1], plan.width)
+    held: dict[tuple[int, ...], list[int]] = {}
+    for i, cells in enumerate(np.floor((others @ a + b) / plan.width).astype(np.int64).tolist()):
+        held.setdefault(tuple(cells), []).append(i)
+    at = np.full((len(asked), len(others)), 2.0)
+    steps = np.full((len(asked), PROBES + 1), 2.0)
+    for q, position in enumerate((asked @ a + b) / plan.width):
+        for n, (cells, before) in enumerate(probes(position, plan.reach / plan.width, plan.success)):
+            steps[q, n] = before
+            if n == PROBES:
+                break
+            if cells in held:
+                at[q, held[cells]] = before
+    return at, steps
+
+
+def choose(asked: np.ndarray, near: np.ndarray, seen: np.ndarray, number: int) -> Choice:
+    """The cheapest plan by which ``asked[i]`` finds its neighbours ``near[i]``.
+
+    ``near``: queries x k x d, all unit vectors as ``asked`` and ``seen``, which is a
+    sample of the ``number`` vectors that are searched.
+    """
+    queries, k, d = near.shape
+    distance = np.sqrt(np.maximum(((asked[:, None] - near) ** 2).sum(axis=2), 0))
+    reach = max(float(np.quantile(distance, 0.75)), 1e-3)
+    others = np.concatenate([near.reshape(-1, d), seen])
+    own = np.arange(queries)[:, None], np.arange(queries * k).reshape(queries, k)
+    best, key = None, None
+    for m in FUNCTIONS:
+        for w in WIDTHS:
+            plan = Plan(max(TABLES), m, w * reach, reach, max(SUCCESSES))
+            looks = [_visited(asked, others, t, plan) for t in range(plan.tables)]
+            for tables in TABLES:
+                for success in SUCCESSES:
+                    seen_at = np.min([at for at, _ in looks[:tables]], axis=0) < success
+                    share = sum((at[:, queries * k :] < success).mean() for at, _ in looks[:tables])
+                    asks = [(steps < success).sum(axis=1) for _, steps in looks[:tables]]
+                    if max(a.max() for a in asks) > PROBES:
+                        continue
+                    count = sum(a.mean() for a in asks)
+                    recall = float(seen_at[own].mean())
+                    cost = share * number + count * PROBE_COST
+                    # Short of the aim, recall counts; beyond it, work.
+                    new = (min(recall, AIM), -cost)
+                    if best is None or new > key:
+                        best, key = Choice(plan._replace(tables=tables, success=success), recall, share, count), new
+    return best
+
+
 def _bucket_number(table: int, cells) -> int:
     """A bucket's cells as one number: few bits for each, hashed where too many."""
     h = table + 1
@@ -91,41 +168,46 @@ def _bucket_number(table: int, cells) -> int:
     return h - (1 << 63)
 
 
-def _placed(rows: DataFrame, m: int, d: int, as_queries: bool) -> DataFrame:
-    """bucket, id, vector: a vector's bucket, or a query's probes, in every table."""
+def _placed(rows: DataFrame, plan: Plan, d: int, as_queries: bool) -> DataFrame:
+    """bucket, id of a query's probes in every table; and the vector of one placed."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        families = [hash_family(t, m, d) for t in range(TABLES)]
+        families = [hash_family(t, plan.m, d, plan.width) for t in range(plan.tables)]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(-1, d)
-            x = x / np.abs(x).max(axis=1, keepdims=True)
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
+            x = unit(batch.column(1))
             for t, (a, b) in enumerate(families):
-                at = (x @ a + b) / WIDTH
+                at = (x @ a + b) / plan.width
                 row, bucket = [], []
                 for i, position in enumerate(at):
-                    cells = probes(position) if as_queries else [np.floor(position)]
-                    for c in cells:
-                        row.append(i)
-                        bucket.append(_bucket_number(t, c))
+                    if as_queries:
+                        cells = [c for c, _ in probes(position, plan.reach / plan.width, plan.success)]
+                    else:
+                        cells = [np.floor(position)]
+                    row += [i] * len(cells)
+                    bucket += [_bucket_number(t, c) for c in cells]
                 taken = batch.take(pa.array(row, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), *taken.columns], ["bucket", "id", "vector"])
+                columns = [pa.array(bucket, pa.int64()), taken.column(0)]
+                if as_queries:
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "id"])
+                else:
+                    yield pa.RecordBatch.from_arrays([*columns, taken.column(1)], ["bucket", "id", "vector"])
 
-    return rows.select("id", "vector").mapInArrow(place, "bucket long, id long, vector array<double>")
+    schema = "bucket long, id long" + ("" if as_queries else ", vector array<double>")
+    return rows.select("id", "vector").mapInArrow(place, schema)
 
 
-def _best_of_blocks(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def _best_of_blocks(vectors: DataFrame, probed: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """query_id, class_id, score: the best k classes of each block for each query.
 
-    ``vectors`` and ``queries``: bucket, id, vector.
+    ``vectors``: bucket, id, vector; ``probed``: bucket, id; ``queries``: id, vector.
     """
     # As many rows as buckets are filled.
     parts = vectors.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("vb"))
-    asked = queries.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("qb"))
+    asked = probed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("qb"))
     blocks = staged(parts.join(asked, "bucket"), "blocks")
-    v = vectors.join(blocks, "bucket").select(
+    v = salted_join(vectors, blocks, "bucket", "id").select(
         "bucket",
         F.pmod(F.xxhash64("id"), F.col("vb")).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("j"),
@@ -133,7 +215,8 @@ def _best_of_blocks(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame
         "id",
         "vector",
     )
-    q = queries.join(blocks, "bucket").select(
+    # Only probes of filled buckets get their query's vector.
+    q = salted_join(probed, blocks, "bucket", "id").join(queries.select("id", "vector"), "id").select(
         "bucket",
         F.explode(F.sequence(F.lit(0), F.col("vb") - 1)).alias("i"),
         F.pmod(F.xxhash64("id"), F.col("qb")).cast("int").alias("j"),
@@ -230,13 +313,12 @@ def _nearest(good: DataFrame, asked: F.Column, d: int, k: int) -> DataFrame:
     """The answers of the queries among vectors of one length, ``d``."""
     classes = staged(good.groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "classes")
     number = classes.count()
-    m = functions_for(number)
     heads = classes.select("vector", F.col("id").alias("class_id"))
     members = staged(good.join(heads, "vector").select("id", "class_id"), "members")
-    queries = good.where(asked)
-    found = _best_of_blocks(
-        staged(_placed(classes, m, d, False), "placed"), staged(_placed(queries, m, d, True), "probed"), k
-    )
+    queries = staged(good.where(asked), "queries")
+    plan = _plan(classes, queries, number, d, k).plan
+    probed = staged(_placed(queries, plan, d, True).distinct(), "probed")
+    found = _best_of_blocks(staged(_placed(classes, plan, d, False), "placed"), probed, queries, k)
     found = staged(found.distinct(), "found")
     answer = staged(_ranked(found, members, k), "ranked")
     # Queries that the probed buckets gave too little are set against all vectors.
@@ -244,14 +326,48 @@ def _nearest(good: DataFrame, asked: F.Column, d: int, k: int) -> DataFrame:
     short = queries.join(enough, queries["id"] == enough["query_id"], "left_anti").select("id", "vector")
     short = staged(short, "short")
     if number and not short.isEmpty():
-        one = F.lit(0).cast("long").alias("bucket")
-        rest = _best_of_blocks(classes.select(one, "id", "vector"), short.select(one, "id", "vector"), k)
-        again = _ranked(rest.distinct(), members, k)
+        again = _ranked(_against_all(classes, short, k).distinct(), members, k)
         kept = answer.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti")
         answer = kept.select("query_id", "rank", "vec_id", "score").union(again.select("query_id", "rank", "vec_id", "score"))
     return answer.select("query_id", "rank", "vec_id", "score")
 
 
+def _against_all(classes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query_id, class_id, score: best classes of queries that meet all vectors, in blocks."""
+    one = F.lit(0).cast("long").alias("bucket")
+    return _best_of_blocks(classes.select(one, "id", "vector"), queries.select(one, "id").distinct(), queries, k)
+
+
+def _plan(classes: DataFrame, queries: DataFrame, number: int, d: int, k: int) -> Choice:
+    """The plan for a search, from the true neighbours of a few queries."""
+    none = Choice(Plan(1, 1, 1.0, 0.5, max(SUCCESSES)), 1.0, 1.0, 1.0)
+    asked = staged(queries.orderBy(F.xxhash64("id"), "id").limit(ASKED), "asked")
+    if not number or asked.isEmpty():
+        return none
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "class_id")
+    # Its own class is among a query's k + 1 best, as a rule.
+    near = _against_all(classes, asked, k).distinct().withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
+    near = near.select("query_id", "r", F.col("class_id").alias("id")).join(classes.select("id", "vector"), "id")
+    near = near.toArrow().sort_by([("query_id", "ascending"), ("r", "ascending")])
+    given = dict(zip((q := asked.toArrow()).column("id").to_pylist(), unit(q.column("vector").combine_chunks()), strict=True))
+    met: dict[int, list[np.ndarray]] = {}
+    for query, x in zip(near.column("query_id").to_pylist(), unit(near.column("vector").combine_chunks()), strict=True):
+        if np.abs(given[query] - x).max() > 1e-12:
+            met.setdefault(query, []).append(x)
+    # Queries with as many other classes beside them as the fullest one, up to k.
+    most = min(k, max(map(len, met.values()), default=0))
+    full = [query for query, found in met.items() if len(found) >= most]
+    if not most:
+        return none
+    seen = classes.select("vector").orderBy(F.xxhash64("id"), "id").limit(SEEN).toArrow()
+    return choose(
+        np.stack([given[query] for query in full]),
+        np.stack([np.stack(met[query][:most]) for query in full]),
+        unit(seen.column("vector").combine_chunks()),
+        number,
+    )
+
+
 def _ranked(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """The classes found for a query as its k nearest vectors, itself left out."""
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "class_id")

@@ -1,10 +1,10 @@
-"""Whitening and exact search against plain computations."""
+"""Whitening, exact search and planned neighbour search against plain computations."""
 
 import duckdb
 import numpy as np
 import pytest
 
-from tallygrove.llm import exact_search
+from tallygrove.llm import exact_search, neighbours
 from tallygrove.llm.exact_search import OP13_SQL, op13_exact_search, products, top_products
 from tallygrove.llm.whitening import above, intervals, largest, op12_whitening, tridiagonal, whiten
 
@@ -146,3 +146,54 @@ def test_no_eigenvalue_is_missed(spark, e):
     found, c = largest(spark, v)
     assert np.allclose(found, np.sort(e)[::-1][:16], rtol=1e-12, atol=1e-12 * e.max())
     assert np.allclose(c.T @ c, np.eye(16), atol=1e-13) and np.abs(v @ c - c * found).max() < 1e-12 * e.max()
+
+
+# -- neighbours ----------------------------------------------------------------------
+
+
+def _clustered(n, clusters, scale, d=32):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(clusters, d))[rng.integers(0, clusters, n)] + rng.normal(scale=scale, size=(n, d))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _true(x, queries, k=5):
+    s = x[queries] @ x.T
+    s[np.arange(len(queries)), queries] = -2
+    return np.argsort(-s, axis=1)[:, :k]
+
+
+@pytest.mark.parametrize(("clusters", "scale", "most"), [(60, 0.2, 0.15), (60, 0.5, 0.3), (1, 9.0, 1.9)])
+def test_plan_finds_neighbours_of_other_queries_by_few_visits(clusters, scale, most):
+    x = _clustered(6000, clusters, scale)
+    asked, others = np.arange(0, 2400, 50), np.arange(25, 5000, 50)
+    plan, recall, share, count = neighbours.choose(x[asked], x[_true(x, asked)], x[::2], len(x))
+    assert recall >= 0.96 and share <= most and count <= neighbours.PROBES * plan.tables
+    at = np.min([neighbours._visited(x[others], x, t, plan)[0] for t in range(plan.tables)], axis=0)
+    assert np.take_along_axis(at < plan.success, _true(x, others), 1).mean() >= 0.9
+
+
+def test_probes_come_once_in_falling_order_and_hold_their_share():
+    position = np.array([0.3, -1.8, 4.95])
+    found = list(neighbours.probes(position, 0.7, 0.9))
+    cells = [c for c, _ in found]
+    chance = np.diff([p for _, p in found])
+    assert len(set(cells)) == len(cells) and cells[0] == (0, -2, 4)
+    assert (np.diff(chance) <= 1e-12).all() and found[-1][1] < 0.9
+    near = np.floor(position + np.random.default_rng(3).normal(scale=0.7, size=(20_000, 3))).astype(int)
+    assert abs(np.mean([tuple(c) in set(cells) for c in near.tolist()]) - 0.9) < 0.03
+
+
+@pytest.mark.parametrize("block", [40, 2048])
+def test_neighbours_of_clustered_vectors(spark, monkeypatch, block):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    x = _clustered(3000, 40, 0.2)
+    vectors = spark.createDataFrame(_rows(x), VECTORS)
+    good = neighbours.usable(vectors)
+    choice = neighbours._plan(good, good.where("id % 50 = 0"), 3000, 32, 5)
+    assert choice.share < 0.3 and choice.recall >= 0.96
+    out = neighbours.nearest(vectors, "id % 50 = 0").toPandas()
+    true = _true(x, np.arange(0, 3000, 50))
+    got = {q: set(g.vec_id) for q, g in out.groupby("query_id")}
+    assert sum(len(got[50 * i] & set(t)) for i, t in enumerate(true)) >= 0.9 * true.size
+    assert np.allclose(out.score, (x[out.query_id] * x[out.vec_id]).sum(axis=1), atol=1e-14)
