@@ -334,7 +334,8 @@ def _nearest(good: DataFrame, asked: F.Column, d: int, k: int) -> DataFrame:
 
 def _against_all(classes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """query_id, class_id, score: best classes of queries that meet all vectors, in blocks."""
-    one = F.lit(0).cast("long").alias("bucket")
+    # No literal: joined by one, the single rows of two tables would be a cross join.
+    one = F.col("id").bitwiseAND(F.lit(0)).alias("bucket")
     return _best_of_blocks(classes.select(one, "id", "vector"), queries.select(one, "id").distinct(), queries, k)
 
 
