@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from tallygrove.llm.common import read, staged
 
 MIN_WORDS = 1
+#: A unit that stands in more than one of so many places is heavy: fewer than that many are.
+HEAVY = 1_000
 #: Texts that are rebuilt at a time.
 REBUILT = 500
 SPAN = ("start", "stop", "first_doc_id")
@@ -69,10 +71,15 @@ def dedup_units(docs: DataFrame, *, unit: str = "line", min_words: int = MIN_WOR
         found.groupBy("digest")
         .agg(F.min(F.struct("doc_id", "n", "row_hash")).alias("first"), F.count(F.lit(1)).alias("times"))
         .where("times > 1")
-        .select("digest", "first")
+        .select("digest", "first", (F.col("times") * HEAVY > found.count()).alias("heavy"))
     )
+    repeated = staged(repeated, "repeated")
+    # Places of a heavy unit stay where they are: its row comes to them.
+    heavy = F.broadcast(repeated.where("heavy"))
+    light = found.join(heavy, "digest", "left_anti").join(repeated.where("not heavy"), "digest")
     gone = (
-        found.join(repeated, "digest")
+        found.join(heavy, "digest")
+        .unionByName(light)
         .where(F.struct("doc_id", "n", "row_hash") != F.col("first"))
         .select("doc_id", "row_hash", F.struct("n", F.col("first.doc_id").alias("first_doc_id")).alias("hit"))
         .distinct()
