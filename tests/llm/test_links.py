@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallygrove.llm import line_dedup, near_dedup
+from tallygrove.llm import line_dedup, near_dedup, span_dedup
 from tallygrove.llm.common import components, multiset_jaccard, shingles
 from tallygrove.llm import embedding_dedup
 from tallygrove.llm.embedding_dedup import near_vectors
@@ -138,7 +138,9 @@ def test_line_dedup_odd_rows(spark):
     assert dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
-def test_span_dedup_equals_its_sql(spark):
+@pytest.mark.parametrize("heavy", [1, 1000])
+def test_span_dedup_equals_its_sql(spark, monkeypatch, heavy):
+    monkeypatch.setattr(span_dedup, "HEAVY", heavy)
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     found = con.execute(OP3_SQL)
