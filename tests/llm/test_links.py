@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -170,6 +171,101 @@ def test_spans_point_into_the_original(spark, unit):
     assert all(long[r.start : r.stop] in ("again", f"unit {(i - 1) % 15_000}") for i, r in enumerate(two.removed))
 
 
+def _talky(seed, n):
+    """Documents whose lines share sentences, passages and odd bits."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdeé", k=rng.randint(1, 4)))
+    sentence = lambda: " ".join(word() for _ in range(rng.randint(1, 14))) + rng.choice(".!?。")
+    pool = [" ".join(sentence() for _ in range(rng.randint(1, 9))) for _ in range(12)]
+    odd = ["", "  ", "...", "3.14 is a number of four", "\x01", "a\x01b c d e. f g\x0bh i j", ". . a b c d", "no stop at all here"]
+    bit = lambda: rng.choice([sentence(), rng.choice(pool), rng.choice(pool).upper(), rng.choice(odd)])
+    line = lambda: rng.choice(["", " ", "\t"]).join(bit() for _ in range(rng.randint(1, 5)))
+    return [(i, "\n".join(line() for _ in range(rng.randint(1, 6)))) for i in range(n)] + [(n, None), (n + 1, "")]
+
+
+def _plain_spans(rows, run_words=25):
+    """What span dedup keeps, by a walk over all texts in order."""
+    def flat(x):
+        return re.sub(r"[ \t\r\n\x0b\f]+", " ", x).strip(" ").lower()
+
+    def parts(line):
+        line, out = line.replace("\x01", " "), []
+        for sentence in re.findall(r"[^.!?。！？]*[.!?。！？]|[^.!?。！？]+$", line):
+            # Marks of an end that follow one another at once belong together.
+            if out and not (len(flat(sentence).split(" ")) >= 4 and re.search(r"[^.!?。！？]", sentence)):
+                out[-1] += sentence
+            else:
+                out.append(sentence)
+        return out
+
+    seen, result = set(), {}
+    for doc_id, text in sorted(rows):
+        if text is None:
+            result[doc_id] = None
+            continue
+        kept, here = [], set()
+        for line in text.split("\n"):
+            whole, bits = flat(line), parts(line)
+            if whole and whole in seen:
+                continue
+            seen |= {whole}
+            left, run = "", []
+            at = 0
+            fresh = []
+            for bit in [*bits, None]:
+                again = bit is not None and len(bits) > 1 and len(flat(bit).split(" ")) >= 4 and flat(bit) in seen
+                if again:
+                    run.append(bit)
+                else:
+                    if sum(len(flat(x).split(" ")) for x in run) < run_words:
+                        left += line[at : at + sum(map(len, run))]
+                    at += sum(map(len, run))
+                    run = []
+                    if bit is not None:
+                        left += line[at : at + len(bit)]
+                        at += len(bit)
+                if bit is not None and len(bits) > 1 and len(flat(bit).split(" ")) >= 4:
+                    seen.add(flat(bit))
+            kept.append(left)
+        result[doc_id] = "\n".join(kept)
+    return result
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_span_dedup_within_lines_equals_its_sql_and_a_plain_walk(spark, tmp_path, seed):
+    rows = _talky(seed, 150)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    ours = {r.doc_id: r for r in op3_span_dedup(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, text, n_removed, spans FROM ({OP3_SQL})").fetchall()}
+    assert {k: (r.text, r.n_removed, r.spans) for k, r in ours.items()} == found
+    assert {k: r.text for k, r in ours.items()} == _plain_spans(rows)
+    assert sum(r.n_removed for r in ours.values()) > 100
+
+
+def test_a_passage_within_different_lines_goes_once(spark):
+    rng = random.Random(5)
+    words = lambda n: [("%06x" % rng.getrandbits(24)) for _ in range(n)]
+    body = [" ".join(words(n)) + "." for n in (9, 3, 14, 12, 13)]
+    passage = " ".join(body)
+    rows = [(i, f"{' '.join(words(8))}. {passage} {' '.join(words(9))}.\n{' '.join(words(30))}.") for i in range(4)]
+    # Cut through a sentence at both ends.
+    rows.append((4, f"{' '.join(words(6))} {passage[20:-20]} {' '.join(words(6))}."))
+    # One sentence alone is no passage.
+    rows.append((5, f"{' '.join(words(6))}. {body[2]} {' '.join(words(6))}."))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in dedup_units(docs).collect()}
+    assert out[0].text == rows[0][1] and out[5].text == rows[5][1]
+    for i in (1, 2, 3):
+        assert out[i].text == rows[i][1].replace(" " + passage, "")
+        assert "".join(rows[i][1][r.start : r.stop] for r in out[i].removed) == " " + passage
+        assert {r.first_doc_id for r in out[i].removed} == {0}
+    assert body[2] not in out[4].text and body[3] not in out[4].text
+    lines = {r.doc_id: r.text for r in dedup_units(docs, run_words=None).collect()}
+    assert lines == dict(rows)
+
+
 def test_dart_signatures_agree_as_often_as_sets_are_similar():
     rng = np.random.default_rng(0)
     common, hits, truth = rng.integers(0, 2**63, 300).astype(np.uint64), [], []
