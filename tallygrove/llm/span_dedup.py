@@ -58,7 +58,9 @@ BLANK = r" \t\r\n\x0B\f"
 STOP = ".!?。！？"
 #: The end of a sentence, and the beginning of the next with SENTENCE words in it.
 CUT = rf"([{STOP}])([{BLANK}]*(?:[^{STOP}{BLANK}]+[{BLANK}]+){{{SENTENCE - 1}}}[^{STOP}{BLANK}])"
-#: Marks a cut; in a text it counts as a blank.
+#: The same in a normalised unit.
+NORMAL_CUT = rf"([{STOP}]) ?((?:[^{STOP} ]+ ){{{SENTENCE - 1}}}[^{STOP} ])"
+#: Marks a cut; in a text it counts as a blank when parts are cut.
 MARK = "\x01"
 
 
@@ -78,20 +80,23 @@ def units(
     docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, run_words: int | None = RUN_WORDS
 ) -> DataFrame:
     """doc_id, row_hash, n (a unit's number), m (its part's, from 1; 0 for the unit), digest."""
-    lines = _keyed(docs).where("doc_id is not null and text is not null").select(
-        "doc_id", "row_hash", F.posexplode(F.split("text", ENDS[unit], -1)).alias("n", "unit")
+    lines = (
+        _keyed(docs)
+        .where("doc_id is not null and text is not null")
+        .select("doc_id", "row_hash", F.posexplode(F.transform(F.split("text", ENDS[unit], -1), _normal)).alias("n", "whole"))
+        .where("whole <> ''")
     )
     if run_words is None:
-        found = lines.select("doc_id", "row_hash", "n", F.lit(0).alias("m"), _normal("unit").alias("normal"))
+        found = lines.select("doc_id", "row_hash", "n", F.lit(0).alias("m"), F.col("whole").alias("normal"))
     else:
-        parts = F.split(F.regexp_replace(F.translate("unit", MARK, " "), CUT, f"$1{MARK}$2"), MARK, -1)
-        # A line that is one part is only itself.
-        several = F.when(F.size("parts") > 1, F.concat(F.array("unit"), "parts")).otherwise(F.array("unit"))
+        blank = F.trim(F.regexp_replace(F.translate("whole", MARK, " "), " +", " "))
+        marked = F.regexp_replace("bare", NORMAL_CUT, f"$1{MARK}$2")
         found = (
-            lines.where("unit <> ''")
-            .withColumn("parts", parts)
-            .select("doc_id", "row_hash", "n", F.posexplode(several).alias("m", "part"))
-            .select("doc_id", "row_hash", "n", "m", _normal("part").alias("normal"))
+            lines.withColumn("bare", F.when(F.contains("whole", F.lit(MARK)), blank).otherwise(F.col("whole")))
+            .withColumn("parts", F.concat(F.array("whole"), F.split(marked, MARK, -1)))
+            .select("doc_id", "row_hash", "n", "bare", F.posexplode("parts").alias("m", "normal"))
+            # A unit that is one part is only itself.
+            .where("not (m = 1 and normal = bare)")
         )
     least = F.when(F.col("m") == 0, F.lit(min_words)).otherwise(F.lit(max(SENTENCE, min_words)))
     return (
